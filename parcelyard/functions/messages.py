@@ -14,15 +14,19 @@ def decoded_text(value: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def object_fields(text: Column) -> Column:
-    """A JSON object as a map of its top-level fields; NULL for anything else.
+def parsed_parts(text: Column) -> Column:
+    """The message as the first of two array elements; NULL if that is not JSON.
 
-    The parser stops at the end of the first value, so `{"a":1}}` would pass. Parsing the message as the
-    first of two array elements makes any trailing text break the array.
+    The parser stops at the end of the first value, so `{"a":1}}` alone would pass. With a known element
+    after it, trailing text breaks the array.
     """
-    parts = F.from_json(
+    return F.from_json(
         F.concat(F.lit("["), text, F.lit(f',{{"{_END}":null}}]')), "array<map<string,string>>", _STRICT
     )
+
+
+def object_fields(parts: Column) -> Column:
+    """The top-level fields of a message that is one JSON object; NULL for anything else."""
     whole = (F.size(parts) == 2) & F.map_contains_key(F.get(parts, F.lit(1)), _END)
     return F.when(whole, F.get(parts, F.lit(0)))
 

@@ -23,8 +23,8 @@ def instant_to_utc(instant: Column) -> Column:
 
 def utc_clock(text: Column) -> Column:
     """ISO text to a UTC wall clock. Text without a zone is taken as UTC; malformed text gives NULL."""
-    zoned = F.when(text.rlike(_ZONED), text).otherwise(F.concat(text, F.lit("Z")))
-    return instant_to_utc(zoned.try_cast("timestamp"))
+    zoned = instant_to_utc(text.try_cast("timestamp"))
+    return F.when(text.rlike(_ZONED), zoned).otherwise(wall_clock(text))
 
 
 def micros_text(clock: Column) -> Column:

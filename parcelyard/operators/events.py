@@ -60,18 +60,24 @@ def event_messages(events: DataFrame) -> DataFrame:
 
 
 def check_messages(messages: DataFrame) -> DataFrame:
-    """Add `text`, `fields` and `reject_reason` (NULL when the message is accepted) to each message."""
-    fields, text = F.col("fields"), F.col("text")
+    """Add `text`, `fields` and `reject_reason` (NULL when the message is accepted) to each message.
+
+    Text and JSON come out of a generator, so a message is parsed once: a filter on the outcome cannot be
+    pushed below it and parse again.
+    """
+    decoded = msg.decoded_text(F.col("value"))
+    parsed = F.struct(decoded.alias("text"), msg.parsed_parts(decoded).alias("_parts"))
+    fields, text = msg.object_fields(F.col("_parts")), F.col("text")
+    reason = (
+        F.when(text.isNull(), "undecodable")
+        .when(fields.isNull() & msg.is_json_value(text), "not_an_object")
+        .when(fields.isNull(), "malformed_json")
+        .when(msg.lacks_required_key(fields), "missing_key")
+    )
     return (
-        messages.withColumn("text", msg.decoded_text(F.col("value")))
-        .withColumn("fields", msg.object_fields(text))
-        .withColumn(
-            "reject_reason",
-            F.when(text.isNull(), "undecodable")
-            .when(fields.isNull() & msg.is_json_value(text), "not_an_object")
-            .when(fields.isNull(), "malformed_json")
-            .when(msg.lacks_required_key(fields), "missing_key"),
-        )
+        messages.select("*", F.inline(F.array(parsed)))
+        .withColumns({"fields": fields, "reject_reason": reason})
+        .drop("_parts")
     )
 
 
@@ -90,7 +96,9 @@ def accepted_events(checked: DataFrame) -> DataFrame:
 
 
 def rejected_messages(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
+    return checked.filter(F.col("reject_reason").isNotNull()).select(
+        F.col("value").cast("binary").alias("value"), "reject_reason"
+    )
 
 
 def dedup_events(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from parcelyard.sinks.files import write_layer
 from parcelyard.sources.files import curated_table, event_files, raw_csv
 
 # dimensions first: the facts read them back
-_ORDER = (
+TABLE_ORDER = (
     "dim_customer",
     "dim_seller",
     "dim_product",
@@ -48,7 +48,7 @@ def build_curated(
         "fact_delivery_event": lambda: events.fact_delivery_event(processed),
     }
     counts = {}
-    for name in _ORDER:
+    for name in TABLE_ORDER:
         df = tables[name]()
         schemas.require_columns(df, schemas.WAREHOUSE[name], name)
         counts[name] = write_layer(df, f"{out}/{name}")
@@ -59,5 +59,5 @@ def load_warehouse(
     spark: SparkSession, curated: str, database: str, raise_on_error: bool = False
 ) -> DataFrame:
     """Replace the warehouse tables with the curated ones; returns one status row per table."""
-    sources = {name: (lambda n=name: curated_table(spark, curated, n)) for name in _ORDER}
+    sources = {name: (lambda n=name: curated_table(spark, curated, n)) for name in TABLE_ORDER}
     return warehouse.load_tables(spark, database, sources, raise_on_error)

@@ -11,6 +11,7 @@ from parcelyard.models.scoring import PREDICTION_COLUMNS, score
 from parcelyard.models.training import Grid, train_delay_model
 from parcelyard.operators import dashboard, events, evaluation, features as feat, quality, reports, star
 from parcelyard.plans.delay_model import train_and_evaluate
+from parcelyard.plans.etl import TABLE_ORDER
 from parcelyard.sinks import warehouse
 from parcelyard.sinks.files import write_event_lines
 from parcelyard.sources import retail
@@ -45,10 +46,6 @@ def _staged_once(spark: SparkSession, folder: str, name: str, build: Callable[[]
     return _staged[key]
 
 
-def forget_staged() -> None:
-    _staged.clear()
-
-
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
@@ -101,26 +98,29 @@ def _fact(spark, folder, customers):
     )
 
 
-def _report_fact(spark, folder):
-    """The fact for reports: they total it per key, so an unstaged dimension will do, and columns a
-    report does not read take their joins with them."""
+def _lean_fact(spark, folder):
+    """The fact for queries that do not read the customer's zip. The unstaged dimension is known to have one
+    row per customer, so the optimizer drops its join; the join with the items goes the same way."""
     return _fact(spark, folder, dim_customer(spark, folder))
 
 
-def _dimension(spark, folder, name):
+def curated(spark, folder, name):
+    """A table of the star schema, built once and read back from storage."""
     build = {
         "dim_customer": dim_customer,
         "dim_seller": dim_seller,
         "dim_product": dim_product,
         "dim_location": _locations,
         "dim_date": dim_date,
+        "fact_delivery": fact_delivery,
+        "fact_delivery_event": fact_delivery_event,
     }[name]
     return _staged_once(spark, folder, name, lambda: build(spark, folder))
 
 
 @_query
 def fact_delivery(spark, folder):
-    return _fact(spark, folder, _dimension(spark, folder, "dim_customer"))
+    return _fact(spark, folder, curated(spark, folder, "dim_customer"))
 
 
 # ---- reports and dashboard ----
@@ -128,24 +128,24 @@ def fact_delivery(spark, folder):
 
 @_query
 def monthly_performance(spark, folder):
-    return reports.monthly_performance(_report_fact(spark, folder))
+    return reports.monthly_performance(_lean_fact(spark, folder))
 
 
 @_query
 def state_performance(spark, folder, min_deliveries=STATE_THRESHOLD):
     return reports.state_performance(
-        _report_fact(spark, folder), dim_customer(spark, folder), min_deliveries
+        _lean_fact(spark, folder), dim_customer(spark, folder), min_deliveries
     )
 
 
 @_query
 def seller_revenue_top10(spark, folder):
-    return reports.seller_revenue(_report_fact(spark, folder), dim_seller(spark, folder))
+    return reports.seller_revenue(_lean_fact(spark, folder), dim_seller(spark, folder))
 
 
 @_query
 def category_performance(spark, folder):
-    return reports.category_performance(_report_fact(spark, folder), dim_product(spark, folder))
+    return reports.category_performance(_lean_fact(spark, folder), dim_product(spark, folder))
 
 
 @_query
@@ -274,7 +274,7 @@ def layer_row_counts(spark, folder):
             "dim_seller": dim_seller(spark, folder),
             "dim_product": dim_product(spark, folder),
             "dim_location": _locations(spark, folder),
-            "fact_delivery": _report_fact(spark, folder),
+            "fact_delivery": _lean_fact(spark, folder),
         }
     )
 
@@ -284,12 +284,7 @@ def load_warehouse(spark, folder):
     location = new_folder(spark, "warehouse")
     database = location.rsplit("/", 1)[-1].replace("-", "_")
     warehouse.create_tables(spark, database, location)
-    tables = {
-        name: (lambda n=name: _dimension(spark, folder, n))
-        for name in ("dim_customer", "dim_seller", "dim_product", "dim_location", "dim_date")
-    }
-    tables["fact_delivery"] = lambda: fact_delivery(spark, folder)
-    tables["fact_delivery_event"] = lambda: fact_delivery_event(spark, folder)
+    tables = {name: (lambda n=name: curated(spark, folder, n)) for name in TABLE_ORDER}
     return warehouse.load_tables(spark, database, tables)
 
 
@@ -298,11 +293,11 @@ def load_warehouse(spark, folder):
 
 def _feature_base(spark, folder):
     dims = {
-        name: _dimension(spark, folder, f"dim_{name}")
+        name: curated(spark, folder, f"dim_{name}")
         for name in ("customer", "seller", "product", "location", "date")
     }
     return feat.feature_base(
-        _fact(spark, folder, dims["customer"]),
+        _lean_fact(spark, folder),
         dims["product"],
         dims["customer"],
         dims["seller"],
@@ -338,7 +333,7 @@ def order_distance(spark, folder):
     return base.select("order_id", F.round(feat.distance_km(), 6).alias("distance_km"))
 
 
-def _training_features(spark, folder):
+def training_features(spark, folder):
     """Read several times by what follows, so stored."""
     return _staged_once(
         spark,
@@ -349,7 +344,7 @@ def _training_features(spark, folder):
 
 
 def _train_side(spark, folder):
-    split = feat.with_split(_training_features(spark, folder))
+    split = feat.with_split(training_features(spark, folder))
     return split.filter(F.col("split") == "train").drop("split")
 
 
@@ -380,13 +375,13 @@ def feature_medians(spark, folder):
 
 @_query
 def feature_moments(spark, folder):
-    return _rounded(feat.moments(_training_features(spark, folder)), "mean", "stddev")
+    return _rounded(feat.moments(training_features(spark, folder)), "mean", "stddev")
 
 
 @_query
 def features_imputed(spark, folder):
     medians = feat.exact_medians(_train_side(spark, folder))
-    return _rounded(feat.impute(_training_features(spark, folder), medians), *feat.FEATURES)
+    return _rounded(feat.impute(training_features(spark, folder), medians), *feat.FEATURES)
 
 
 @_query
@@ -394,14 +389,14 @@ def features_scaled(spark, folder):
     train = _train_side(spark, folder)
     medians = feat.exact_medians(train)
     scaling = feat.collected_moments(feat.impute(train, medians))
-    filled = feat.impute(_training_features(spark, folder), medians)
+    filled = feat.impute(training_features(spark, folder), medians)
     return _rounded(feat.scale(filled, scaling), *feat.FEATURES)
 
 
 @_query
 def delay_probability_maps(spark, folder):
     days = F.col("delay_days").cast("double")
-    return _report_fact(spark, folder).select(
+    return _lean_fact(spark, folder).select(
         "order_id",
         "delay_days",
         scores.delayed_class(days).alias("predicted_is_delayed"),
@@ -424,7 +419,7 @@ def roc_auc(spark, folder):
 
 @_query
 def train_eval(spark, folder):
-    return train_and_evaluate(_training_features(spark, folder), SMALL_GRID)[1]
+    return train_and_evaluate(training_features(spark, folder), SMALL_GRID)[1]
 
 
 @_query

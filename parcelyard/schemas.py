@@ -74,7 +74,7 @@ EVENT_TEXT = _table(
     None, event_id=_S, order_id=_S, event_type=_S, event_timestamp=_S, produced_at=_S
 )
 
-# ---- warehouse: the key column is NOT NULL ----
+# ---- warehouse: the key of a dimension and of the delivery fact is NOT NULL ----
 
 DIM_CUSTOMER = _table(
     "customer_id",
@@ -124,10 +124,10 @@ FACT_DELIVERY = _table(
     date_sk=_S,
 )
 FACT_DELIVERY_EVENT = _table(
-    "event_id", event_id=_S, order_id=_S, status=_S, event_timestamp=_TS, produced_at=_TS
+    None, event_id=_S, order_id=_S, status=_S, event_timestamp=_TS, produced_at=_TS
 )
 FACT_DELIVERY_PREDICTION = _table(
-    "order_id", order_id=_S, is_delayed=_I, predicted_is_delayed=_D, delay_probability=_D
+    None, order_id=_S, is_delayed=_I, predicted_is_delayed=_D, delay_probability=_D
 )
 
 WAREHOUSE = {

@@ -1,0 +1,139 @@
+import json
+from datetime import UTC, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from parcelyard.operators import events as ev, star
+
+KEYS = ["event_id", "order_id", "event_type", "event_timestamp", "produced_at"]
+GOOD = {"event_id": "e1", "order_id": "o1", "event_type": "SHIPPED",
+        "event_timestamp": "2018-01-01 10:00:00", "produced_at": "2018-01-01T10:00:01.500000Z"}
+
+
+def checked(spark, *messages):
+    data = [(m if isinstance(m, (bytes, type(None))) else m.encode(),) for m in messages]
+    return ev.check_messages(spark.createDataFrame(data, "value binary"))
+
+
+def reason(spark, message):
+    return checked(spark, message).first()["reject_reason"]
+
+
+@pytest.fixture(scope="module")
+def log(raw):
+    produced = F.lit("2020-02-02 00:00:00").cast("timestamp_ntz")
+    return ev.event_log(star.clean_orders(raw["orders"]), produced)
+
+
+def test_events_per_order(log, spark):
+    got = {r["order_id"]: r["n"] for r in log.groupBy("order_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {"A": 4, "B": 2, "C": 2, "D": 2, "E": 2, "F": 1}
+
+
+def test_an_order_without_times_has_no_events(spark):
+    nothing = spark.createDataFrame(
+        [("x", None, None, None, None)], "order_id string, " + ", ".join(f"{c} timestamp_ntz" for c in ev.LIFE_CYCLE)
+    )
+    assert ev.event_log(nothing).count() == 0
+
+
+def test_event_content_and_order(log):
+    a = [tuple(r)[1:] for r in log.filter("order_id = 'A'").collect()]
+    assert a == [
+        ("A", "ORDER_CREATED", "2018-01-01 10:00:00", "2020-02-02T00:00:00.000000Z"),
+        ("A", "ORDER_APPROVED", "2018-01-01 11:00:00", "2020-02-02T00:00:00.000000Z"),
+        ("A", "SHIPPED", "2018-01-03 00:00:00", "2020-02-02T00:00:00.000000Z"),
+        ("A", "DELIVERED", "2018-01-11 09:00:00", "2020-02-02T00:00:00.000000Z"),
+    ]
+    assert log.select("event_id").distinct().count() == log.count()
+
+
+def test_global_order_puts_missing_purchases_last(spark):
+    orders = spark.createDataFrame(
+        [("late", datetime(2018, 1, 2)), ("none", None), ("early", datetime(2018, 1, 1))],
+        "order_id string, order_purchase_timestamp timestamp_ntz",
+    ).withColumns({c: F.lit(None).cast("timestamp_ntz") for c in list(ev.LIFE_CYCLE)[1:]})
+    orders = orders.withColumn("order_approved_at", F.lit("2018-01-03").cast("timestamp_ntz"))
+    got = [(r["order_id"], r["event_type"]) for r in ev.event_log(orders, global_order=True).collect()]
+    assert got == [("early", "ORDER_CREATED"), ("early", "ORDER_APPROVED"), ("late", "ORDER_CREATED"),
+                   ("late", "ORDER_APPROVED"), ("none", "ORDER_APPROVED")]
+
+
+def test_event_ids_repeat_on_replay(raw, log):
+    again = ev.event_log(star.clean_orders(raw["orders"].repartition(3)))
+    assert sorted(r[0] for r in again.select("event_id").collect()) == sorted(
+        r[0] for r in log.select("event_id").collect()
+    )
+
+
+def test_produced_now_by_default(raw):
+    text = ev.event_log(star.clean_orders(raw["orders"])).first()["produced_at"]
+    produced = datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ").replace(tzinfo=UTC)
+    assert abs((datetime.now(UTC) - produced).total_seconds()) < 300
+
+
+def test_messages_are_keyed_json(log):
+    message = ev.event_messages(log.filter("order_id = 'C'")).first()
+    assert bytes(message["key"]) == b"C"
+    body = json.loads(bytes(message["value"]))
+    assert list(body) == KEYS and body["event_type"] == "ORDER_CREATED"
+
+
+@pytest.mark.parametrize(
+    "message, why",
+    [
+        (json.dumps(GOOD), None),
+        (json.dumps({**GOOD, "produced_at": None}), None),
+        (json.dumps({**GOOD, "carrier": {"name": "x", "legs": [1, 2]}}), None),
+        (json.dumps(GOOD, indent=2), None),
+        (json.dumps({**GOOD, "weight": float("nan")}), None),
+        (json.dumps({k: v for k, v in GOOD.items() if k != "produced_at"}), "missing_key"),
+        ('{"event_id": "e1"}', "missing_key"),
+        ("{}", "missing_key"),
+        ('{"event_id": "e3"', "malformed_json"),
+        ("", "malformed_json"),
+        (json.dumps(GOOD) + "}", "malformed_json"),
+        (json.dumps(GOOD) + "]", "malformed_json"),
+        (json.dumps(GOOD) + " x", "malformed_json"),
+        (json.dumps(GOOD) + "\n" + json.dumps(GOOD), "malformed_json"),
+        (json.dumps(GOOD) + "," + json.dumps(GOOD), "malformed_json"),
+        (str(GOOD), "malformed_json"),  # single quotes
+        ("[1]", "not_an_object"),
+        ("[" + json.dumps(GOOD) + "]", "not_an_object"),
+        ("5", "not_an_object"),
+        ("null", "not_an_object"),
+        ('"text"', "not_an_object"),
+        (b"\x80\xff", "undecodable"),
+        (None, "undecodable"),
+    ],
+)
+def test_validation(spark, message, why):
+    assert reason(spark, message) == why
+
+
+def test_every_message_is_accepted_or_rejected(spark):
+    both = checked(spark, json.dumps(GOOD), "[1]", "", None, b"\x80", '{"a":1}')
+    assert ev.accepted_events(both).count() + ev.rejected_messages(both).count() == 6
+
+
+def test_accepted_lines_keep_unknown_keys_on_one_line(spark):
+    message = json.dumps({**GOOD, "extra": "a\nb"}, indent=1)
+    line = ev.accepted_lines(checked(spark, message)).first()["value"]
+    assert "\n" not in line and json.loads(line) == {**GOOD, "extra": "a\nb"}
+
+
+def test_processed_events_are_typed_and_unique(spark):
+    twice = checked(spark, json.dumps(GOOD), json.dumps(GOOD), json.dumps({**GOOD, "event_id": "e2", "event_timestamp": "oops"}))
+    got = rows(ev.processed_events(ev.accepted_events(twice)))
+    assert got == [
+        ("e1", "o1", "SHIPPED", datetime(2018, 1, 1, 10), datetime(2018, 1, 1, 10, 0, 1, 500000)),
+        ("e2", "o1", "SHIPPED", None, datetime(2018, 1, 1, 10, 0, 1, 500000)),
+    ]
+    assert rows(ev.dedup_report(ev.accepted_events(twice))) == [(3, 2)]
+
+
+def test_dedup_report_of_nothing(spark):
+    none = ev.accepted_events(checked(spark, "[1]"))
+    assert rows(ev.dedup_report(none)) == [(0, 0)]

@@ -1,0 +1,106 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from parcelyard.operators import dashboard, quality, reports, star
+
+
+@pytest.fixture(scope="module")
+def tables(raw):
+    customers = star.dim_customer(raw["customers"])
+    return {
+        "fact": star.fact_delivery(raw["orders"], raw["order_items"], customers).cache(),
+        "customers": customers,
+        "sellers": star.dim_seller(raw["sellers"]),
+        "products": star.dim_product(raw["products"]),
+    }
+
+
+def test_monthly(tables):
+    assert [tuple(r) for r in reports.monthly_performance(tables["fact"]).collect()] == [
+        (2018, 1, 6, 57.5, 1, 16.67)
+    ]
+
+
+def test_states(tables):
+    got = reports.state_performance(tables["fact"], tables["customers"], min_deliveries=0).collect()
+    assert [tuple(r) for r in got] == [("SP", 2, 1, 50.0, 227.5), ("RJ", 3, 0, 0.0, 36.5)]
+    assert reports.state_performance(tables["fact"], tables["customers"]).count() == 0
+    only = reports.state_performance(tables["fact"], tables["customers"], min_deliveries=2).collect()
+    assert [r["customer_state"] for r in only] == ["RJ"]
+
+
+def test_sellers(tables):
+    got = [tuple(r) for r in reports.seller_revenue(tables["fact"], tables["sellers"]).collect()]
+    assert got == [
+        ("s1", "sao paulo", "SP", 3, 38.1, 239.0, 1),
+        ("s2", "rio", "RJ", 2, 14.0, 126.25, 0),
+    ]
+
+
+def test_categories(tables):
+    got = reports.category_performance(tables["fact"], tables["products"], min_items=0).collect()
+    assert [tuple(r) for r in got] == [
+        ("toys", 3, 500.0, 6000.0, 137.75, 33.33),
+        ("books", 1, 300.0, 6.0, None, 0.0),
+    ]
+
+
+def test_category_means_weigh_each_order_and_skip_unknown(spark, tables):
+    fact = spark.createDataFrame(
+        [("o1", "a", 1, None), ("o2", "a", 0, 2.0), ("o3", "b", 0, 4.0), ("o4", "c", 0, None)],
+        "order_id string, product_id string, is_delayed int, delivery_duration_hours double",
+    )
+    products = spark.createDataFrame(
+        [("a", "x", 10.0, 1.0), ("b", "x", 40.0, 4.0), ("c", "x", None, None)],
+        "product_id string, product_category_name string, product_weight_g double, product_volume double",
+    )
+    assert [tuple(r) for r in reports.category_performance(fact, products, 0).collect()] == [
+        ("x", 4, 20.0, 2.0, 3.0, 25.0)
+    ]
+
+
+def test_a_hot_seller_changes_nothing(spark):
+    """A third of all orders from one seller: totals equal a plain join and group."""
+    fact = spark.range(3000).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("seller_id"),
+        (F.col("id") % 7 == 0).cast("int").alias("is_delayed"),
+        F.when(F.col("id") % 5 != 0, F.col("id") / 4).alias("delivery_duration_hours"),
+        (F.col("id") % 100 + F.lit(0.25)).alias("price"),
+    )
+    sellers = fact.select("seller_id", F.lit("c").alias("seller_city"), F.lit("s").alias("seller_state")).distinct()
+    plain = (
+        fact.join(sellers, "seller_id").groupBy("seller_id", "seller_city", "seller_state")
+        .agg(F.count("order_id"), F.round(F.sum("price"), 2), F.round(F.avg("delivery_duration_hours"), 2), F.sum("is_delayed"))
+    )
+    assert rows(reports.seller_revenue(fact, sellers, top=100)) == rows(plain)
+
+
+PREDICTIONS = "order_id string, is_delayed int, predicted_is_delayed double, delay_probability double"
+
+
+def test_kpis(spark):
+    data = [("1", 1, 1.0, 0.2), ("2", 0, 1.0, 0.4), ("3", None, 0.0, 0.9)]
+    df = spark.createDataFrame(data, PREDICTIONS)
+    assert rows(dashboard.dashboard_kpis(df)) == [(3, 1, 2.0, 50.0)]
+    assert rows(dashboard.dashboard_kpis(df.limit(0))) == [(0, None, None, None)]
+    assert rows(dashboard.order_lookup(df, "2")) == [("2", 0, 1.0, 0.4)]
+    assert dashboard.order_lookup(df, "x").count() == 0
+    assert dashboard.first_orders(df, 2).count() == 2
+
+
+def test_recent_orders(spark, tables):
+    data = [(o, None, 0.0, 0.1) for o in "ABCDEF"]
+    df = spark.createDataFrame(data, PREDICTIONS)
+    got = dashboard.recent_orders(df, tables["fact"], rows=3).collect()
+    assert [r["order_id"] for r in got] == ["C", "D", "E"]
+
+
+def test_quality(spark):
+    df = spark.createDataFrame([("1", "x"), ("2", None), ("2", None), (None, "y")], "id string, v string")
+    assert rows(quality.null_rates(df, ["v", "id"])) == [(50.0, 25.0)]
+    assert rows(quality.key_uniqueness(df, "id", "t")) == [("t", "id", 4, 3, False)]
+    assert rows(quality.key_uniqueness(df.filter("id = '1'"), "id", "t")) == [("t", "id", 1, 1, True)]
+    assert rows(quality.key_uniqueness(df.limit(0), "id", "t")) == [("t", "id", 0, 0, True)]
+    assert rows(quality.row_counts({"a": df, "b": df.limit(0)})) == [("a", 4), ("b", 0)]

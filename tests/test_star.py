@@ -1,0 +1,120 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from parcelyard import schemas
+from parcelyard.operators import star
+from parcelyard.operators.dedup import keep_one
+
+
+@pytest.fixture(scope="module")
+def fact(raw):
+    return star.fact_delivery(raw["orders"], raw["order_items"], star.dim_customer(raw["customers"]))
+
+
+def test_fact_measures(fact):
+    got = {
+        r["order_id"]: (r["delay_days"], r["is_delayed"], r["delivery_duration_hours"], r["date_sk"])
+        for r in fact.collect()
+    }
+    assert got == {
+        "A": (1, 1, 239.0, "20180101"),
+        "B": (0, 0, 216.0, "20180101"),
+        "C": (None, 0, None, "20180102"),
+        "D": (-7, 0, 36.5, "20180102"),
+        "E": (-7, 0, 36.5, "20180102"),
+        "F": (None, 0, None, "20180102"),
+    }
+
+
+def test_fact_keeps_orders_without_items_or_customer(fact, raw):
+    e = fact.filter("order_id = 'E'").first()
+    assert [e[c] for c in ("price", "freight_value", "product_id", "seller_id", "customer_zip_code_prefix")] == [None] * 5
+    assert fact.count() == raw["orders"].count()
+
+
+def test_fact_matches_the_declared_table(fact):
+    schemas.require_columns(fact, schemas.FACT_DELIVERY, "fact")
+
+
+def test_fact_invariants(fact, raw):
+    assert fact.filter("is_delayed = 1 and not delay_days > 0").isEmpty()
+    total = fact.agg(F.sum("price")).first()[0]
+    matched = raw["order_items"].join(raw["orders"], "order_id", "left_semi").agg(F.sum("price")).first()[0]
+    assert total == pytest.approx(matched)
+
+
+def test_items_of_one_order(raw):
+    got = star.order_items_agg(raw["order_items"]).filter("order_id = 'A'").first()
+    assert tuple(got) == ("A", "p1", "s1", 30.10, 3.20)
+
+
+def test_first_item_takes_product_and_seller_from_one_row(spark):
+    items = spark.createDataFrame(
+        [("o", 1, "p2", "s1", 1.0, 1.0), ("o", 1, "p1", "s9", 1.0, 1.0)],
+        "order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double",
+    )
+    assert tuple(star.order_items_agg(items).first())[1:3] == ("p1", "s9")
+
+
+def test_location_keeps_leading_zero_and_means(raw):
+    sp = star.dim_location(raw["geolocation"]).filter("zip_code_prefix = '01037'").first()
+    assert (sp["city"], sp["state"]) == ("sao paulo", "SP")
+    assert (sp["latitude"], sp["longitude"]) == (pytest.approx(-23.6), pytest.approx(-46.7))
+
+
+def test_product_volume_needs_every_side(raw):
+    got = {r["product_id"]: r["product_volume"] for r in star.dim_product(raw["products"]).collect()}
+    assert got == {"p1": 6000.0, "p2": None, "p3": 6.0}
+
+
+def test_calendar(raw):
+    days = star.dim_date(star.clean_orders(raw["orders"]))
+    assert rows(days) == [
+        ("20180101", date(2018, 1, 1), 2018, 1, 1, 2, False),
+        ("20180102", date(2018, 1, 2), 2018, 1, 2, 3, False),
+    ]
+    schemas.require_columns(days, schemas.DIM_DATE, "dim_date")
+
+
+def test_calendar_weekend_and_empty(spark):
+    def calendar(*purchases):
+        df = spark.createDataFrame([(p,) for p in purchases], "order_purchase_timestamp timestamp_ntz")
+        return [(r["day_of_week"], r["is_weekend"]) for r in star.dim_date(df).orderBy("date_sk").collect()]
+
+    friday, monday = datetime(2018, 11, 2, 23, 0), datetime(2018, 11, 5, 0, 0)
+    assert calendar(friday, monday, None) == [(6, False), (7, True), (1, True), (2, False)]
+    assert calendar() == []
+
+
+def test_malformed_times_are_null_and_listed(raw):
+    assert star.clean_orders(raw["orders"]).filter("order_id = 'F'").first()["order_delivered_customer_date"] is None
+    assert [(r["order_id"], r["malformed"]) for r in star.malformed_orders(raw["orders"]).collect()] == [
+        ("F", ["order_delivered_customer_date"])
+    ]
+
+
+def test_keep_one_ignores_input_order(spark):
+    data = [("k", 2, "b"), ("k", 1, "z"), ("k", 1, "y"), (None, 5, "n"), (None, 4, "m")]
+    for shuffled in (data, data[::-1]):
+        df = spark.createDataFrame(shuffled, "id string, a int, b string").repartition(3)
+        assert rows(keep_one(df, "id")) == [(None, 4, "m"), ("k", 1, "y")]
+
+
+def test_keep_one_with_a_hot_key(spark):
+    copies = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("event_id"),
+        F.lit("same").alias("payload"),
+    )
+    once = keep_one(copies, "event_id")
+    assert once.count() == 20_001
+    assert keep_one(once, "event_id").count() == 20_001
+
+
+def test_dimensions_do_not_depend_on_partitioning(raw):
+    again = {name: df.repartition(5).orderBy(F.rand(1)) for name, df in raw.items()}
+    for build, name in ((star.dim_customer, "customers"), (star.dim_seller, "sellers"),
+                        (star.dim_product, "products"), (star.order_items_agg, "order_items")):
+        assert rows(build(raw[name])) == rows(build(again[name]))
