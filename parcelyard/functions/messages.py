@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
+# fixed values: keys every event message must have
 REQUIRED_KEYS = ("event_id", "order_id", "event_type", "event_timestamp", "produced_at")
 
 _END = "end-of-message"

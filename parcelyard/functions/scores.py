@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
+# fixed value: spread of the residual days when none was recorded
 DEFAULT_RESIDUAL_SCALE = 2.0
 
 

@@ -1,12 +1,12 @@
 """Order life-cycle events: produce, check, clean."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelyard.functions import messages as msg
 from parcelyard.functions.timestamps import event_time_text, iso_utc_text, utc_clock, utc_now
 from parcelyard.operators.dedup import keep_one
 
-# order column -> event type, in life-cycle order
+# fixed values: order column -> event type, in life-cycle order
 LIFE_CYCLE = {
     "order_purchase_timestamp": "ORDER_CREATED",
     "order_approved_at": "ORDER_APPROVED",
@@ -16,39 +16,39 @@ LIFE_CYCLE = {
 EVENT_COLUMNS = list(msg.REQUIRED_KEYS)
 
 
-def event_log(orders: DataFrame, produced_at=None, global_order: bool = False) -> DataFrame:
+def event_log(
+    orders: DataFrame, produced_at: Column | None = None, global_order: bool = False
+) -> DataFrame:
     """Up to four events per order, one per milestone that has a time.
 
-    The events of an order come from one input row, so they stay together and in life-cycle order without
-    a shuffle; each partition is sorted by purchase time. `global_order` sorts over all partitions.
+    Orders are sorted by purchase time within each partition, or over all of them with `global_order`, and
+    then unfolded, so the events of an order stay together in life-cycle order without a shuffle.
     The event id is a digest of order, type and time: a retried task repeats it, so replays can be dropped.
     """
     produced_at = utc_now() if produced_at is None else produced_at
+    emission = [F.asc_nulls_last("order_purchase_timestamp"), F.asc("order_id")]
+    source = orders.select(F.col("order_id").cast("string").alias("order_id"), *LIFE_CYCLE)
+    ordered = source.orderBy(*emission) if global_order else source.sortWithinPartitions(*emission)
     steps = F.array(
         *[
             F.struct(
-                F.lit(step).alias("step"),
                 F.lit(kind).alias("event_type"),
                 event_time_text(F.col(column)).alias("event_timestamp"),
             )
-            for step, (column, kind) in enumerate(LIFE_CYCLE.items())
+            for column, kind in LIFE_CYCLE.items()
         ]
     )
-    events = (
-        orders.select(
-            F.col("order_id").cast("string").alias("order_id"),
-            F.col("order_purchase_timestamp").alias("_purchased"),
-            F.explode(F.filter(steps, lambda s: s["event_timestamp"].isNotNull())).alias("_step"),
-        )
-        .select("order_id", "_purchased", "_step.*")
-        .withColumn(
-            "event_id", F.sha2(F.concat_ws("|", "order_id", "event_type", "event_timestamp"), 256)
+    return (
+        ordered.select("order_id", F.inline(steps))
+        .filter(F.col("event_timestamp").isNotNull())
+        .select(
+            F.sha2(F.concat_ws("|", "order_id", "event_type", "event_timestamp"), 256).alias("event_id"),
+            "order_id",
+            "event_type",
+            "event_timestamp",
+            iso_utc_text(produced_at).alias("produced_at"),
         )
-        .withColumn("produced_at", iso_utc_text(produced_at))
     )
-    emission = [F.asc_nulls_last("_purchased"), F.asc("order_id"), F.asc("step")]
-    ordered = events.orderBy(*emission) if global_order else events.sortWithinPartitions(*emission)
-    return ordered.select(*EVENT_COLUMNS)
 
 
 def event_messages(events: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelyard.functions.geo import haversine_km
 
 LABEL = "is_delayed"
-# the model's input order
+# fixed values: the model's inputs, in order
 FEATURES = [
     "price",
     "freight_value",
@@ -199,14 +199,17 @@ def _bin_counts(df: DataFrame, search: dict) -> dict[str, list]:
         # dividing both ends first keeps a range wider than the largest double finite
         share = (value / 2 - lo / 2) / F.lit(hi / 2 - lo / 2)
         place = F.least(F.lit(_BINS - 1), F.floor(share * _BINS).cast("int"))
-        return F.when(
-            value.between(lo, hi),
-            F.struct(F.lit(c).alias("column"), place.alias("bin"), value.alias("value")),
+        return F.struct(
+            F.lit(c).alias("column"),
+            F.when(value.between(lo, hi), place).alias("bin"),
+            value.alias("value"),
         )
 
-    open_values = df.select(F.explode(F.array_compact(F.array(*[binned(c) for c in search]))).alias("v"))
+    # filtering after the explode, not the array before it, stays in generated code
     rows = (
-        open_values.select("v.*")
+        df.select(F.explode(F.array(*[binned(c) for c in search])).alias("v"))
+        .select("v.*")
+        .filter(F.col("bin").isNotNull())
         .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         .collect()

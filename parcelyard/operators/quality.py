@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+# fixed values: the milestones that may be missing
 CHECKED_COLUMNS = (
     "order_approved_at",
     "order_delivered_carrier_date",

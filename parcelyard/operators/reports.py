@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelyard.functions.delay import rate_percent
 
+# fixed values: a group must have more rows than this to be reported
 MIN_STATE_DELIVERIES = 1000
 MIN_CATEGORY_ITEMS = 500
 

@@ -1,4 +1,4 @@
-"""Table schemas. Column names, including the `lenght` spelling, are part of the contract."""
+"""Table schemas: fixed values. Column names, including the `lenght` spelling, are part of the contract."""
 
 from pyspark.sql import types as T
 

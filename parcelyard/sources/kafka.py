@@ -6,6 +6,7 @@ them only after the sink has taken the batch.
 
 from pyspark.sql import DataFrame, SparkSession
 
+# fixed values: topic name and micro-batch bounds
 TOPIC = "delivery_events"
 BATCH_EVENTS = 500
 BATCH_WAIT = "10s"

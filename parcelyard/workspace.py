@@ -26,6 +26,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Give iterative jobs a place to cut their lineage, unless the session has one."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` once and read it back: short lineage, exact size statistics, and joins on it start
     from a plain scan, which is what lets adaptive execution split a skewed partition."""
