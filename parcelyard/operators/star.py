@@ -1,14 +1,20 @@
 """Star schema: dimensions and the delivery fact."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelyard import schemas
 from parcelyard.functions import delay
 from parcelyard.functions.timestamps import date_key, wall_clock
 from parcelyard.operators.dedup import keep_one
 
-# exact, so that a sum does not depend on the order of its rows
-_MONEY = "decimal(20,4)"
+_PARTS = 10_000
+
+
+def _money_total(column: str) -> Column:
+    """Sum in whole ten-thousandths: exact whatever the order of the rows, and cheaper than decimals. NaN is
+    skipped like NULL; an amount too large for the count raises."""
+    amount = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    return F.sum(F.rint(amount * _PARTS).cast("bigint")) / _PARTS
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
@@ -85,15 +91,15 @@ def order_items_agg(items: DataFrame) -> DataFrame:
         items.groupBy("order_id")
         .agg(
             first.alias("first"),
-            F.sum(F.col("price").cast(_MONEY)).alias("price"),
-            F.sum(F.col("freight_value").cast(_MONEY)).alias("freight_value"),
+            _money_total("price").alias("price"),
+            _money_total("freight_value").alias("freight_value"),
         )
         .select(
             "order_id",
             F.col("first.product_id").cast("string").alias("product_id"),
             F.col("first.seller_id").cast("string").alias("seller_id"),
-            F.col("price").cast("double").alias("price"),
-            F.col("freight_value").cast("double").alias("freight_value"),
+            "price",
+            "freight_value",
         )
     )
 

@@ -51,6 +51,14 @@ def test_items_of_one_order(raw):
     assert tuple(got) == ("A", "p1", "s1", 30.10, 3.20)
 
 
+def test_money_totals_are_exact_and_skip_missing(spark):
+    items = spark.createDataFrame(
+        [("o", i, "p", "s", 0.1, None) for i in range(1000)] + [("o", 0, "p", "s", float("nan"), None)],
+        "order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double",
+    ).repartition(7)
+    assert tuple(star.order_items_agg(items).first()) == ("o", "p", "s", 100.0, None)
+
+
 def test_first_item_takes_product_and_seller_from_one_row(spark):
     items = spark.createDataFrame(
         [("o", 1, "p2", "s1", 1.0, 1.0), ("o", 1, "p1", "s9", 1.0, 1.0)],
