@@ -2,7 +2,6 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from parcelyard.operators import events as ev
