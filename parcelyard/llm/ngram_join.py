@@ -66,25 +66,37 @@ def _rows(batch: pa.RecordBatch, width: int):
         yield low, high, shingles(data, offsets, low, high, width)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest unsigned type that holds them all."""
+    most = int(counts.max())
+    return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(x, f"<u{len(x) // GROUPS}") for x in packed], dtype=np.int32)
+
+
 def _points(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(doc_id, n, digest, firsts, point). Of equal sets in a batch, the one with the smallest id lists its first shingles."""
+
     def step(batch):
-        for low, high, sets in _rows(batch, width):
-            firsts, points = [], []
+        ids = batch.column("doc_id").to_pylist()
+        n, firsts, points, digests, lister = [], [], [], [], {}
+        for _, _, sets in _rows(batch, width):
             for s in sets:
-                n = len(s)
-                late = np.zeros(n, bool)
-                if n and len(common):
+                late = np.zeros(len(s), bool)
+                if len(s) and len(common):
                     late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
-                keep = n - -(-percent * n // 100) + 1 if n else 0
+                keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 firsts.append(np.concatenate([s[~late][:keep], s[late][: max(0, keep - int((~late).sum()))]]).view(np.int64))
-                points.append(np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<u4").tobytes())
-            yield {
-                "doc_id": batch.column("doc_id").slice(low, high - low),
-                "n": [len(s) for s in sets],
-                "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                "firsts": firsts,
-                "point": points,
-            }
+                points.append(_packed(np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)))
+                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                me = ids[len(n)]
+                if me is not None:
+                    lister[digests[-1]] = min(me, lister.get(digests[-1], me))
+                n.append(len(s))
+        firsts = [f if lister.get(d) == i else None for f, d, i in zip(firsts, digests, ids, strict=True)]
+        return {"doc_id": batch.column("doc_id"), "n": n, "digest": digests, "firsts": firsts, "point": points}
 
     return map_batches(docs, step, "doc_id long, n long, digest binary, firsts array<long>, point binary")
 
@@ -127,19 +139,18 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 
 def _buckets(shared: DataFrame) -> DataFrame:
-    """(shingle, rows) of one shingle for each set of members."""
+    """(shingle, rows) of one shingle for each set of two members or more."""
     member = [F.count("*").alias("rows"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("doc_id", F.lit(7))).alias("x")]
-    return shared.groupBy("shingle").agg(*member).groupBy("rows", "s", "x").agg(F.min("shingle").alias("shingle")).select("shingle", "rows")
+    return shared.groupBy("shingle").agg(*member).where("rows > 1").groupBy("rows", "s", "x").agg(F.min("shingle").alias("shingle")).select("shingle", "rows")
 
 
-def _dealt(shared: DataFrame, buckets: DataFrame, points: DataFrame) -> DataFrame:
-    """Each bucket's points; a bucket over `BLOCK` is laid out as pairs of blocks, so that each task has two at most."""
+def _dealt(shared: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Each bucket's members; a bucket over `BLOCK` is laid out as pairs of blocks, so that each task has two at most."""
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = shared.join(buckets, "shingle").withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", other)
-    rows = rows.select("shingle", "doc_id", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    return rows.join(points, "doc_id")
+    return rows.select("shingle", "doc_id", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
 
 class RTree:
@@ -214,7 +225,7 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
     def solve(parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts)
         ids, sizes, kind, mine = (rows.column(c).to_numpy() for c in ("doc_id", "n", "class", "mine"))
-        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), "<u4").reshape(len(ids), GROUPS).astype(np.int32)
+        points = _unpacked(rows.column("point").to_pylist())
         a, b = _candidates(points, sizes, ids, percent, kind, best)
         if rows.column("i")[0] != rows.column("j")[0]:  # two blocks: each is compared within itself elsewhere
             across = mine[a] != mine[b]
@@ -246,16 +257,18 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
     return ordered.mapInArrow(run, schema).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose sets link; only texts of documents in a pair are cut into shingles again."""
-    pairs = stage(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """The whole sets of some documents, cut from their texts again, so that only these are stored."""
 
     def cut(batch):
         for low, high, sets in _rows(batch, width):
             yield {"doc_id": batch.column("doc_id").slice(low, high - low), "own": [s.tobytes() for s in sets]}
 
-    sets = stage(map_batches(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), cut, "doc_id long, own binary"), "sets")
+    return map_batches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), cut, "doc_id long, own binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets link."""
     both = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "own": "x"}), "a").join(sets.withColumnsRenamed({"doc_id": "b", "own": "y"}), "b")
 
     def check(batch):
@@ -276,17 +289,20 @@ def join_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     points = stage(_points(docs, _common_shingles(docs, width), width, percent), "points")
     known = points.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(known.groupBy("digest").agg(F.min("doc_id").alias("class")), "classes")
-    chosen = known.join(classes.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    shared = stage(_shared(chosen.select(F.explode("firsts").alias("shingle"), "doc_id")), "shared").distinct()
-    places = chosen.groupBy("doc_id").agg(F.max_by(F.struct("n", "point"), "digest").alias("p")).select("doc_id", "p.*")
-    dealt = stage(_dealt(shared, stage(_buckets(shared), "buckets"), places), "dealt")
-
-    links = stage(_verified(_pairs(dealt.withColumn("class", F.col("doc_id")), percent, best=True), docs, width, percent), "links")
+    shared = _shared(known.select(F.explode("firsts").alias("shingle"), "doc_id"))
+    shared = stage(shared.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi"), "shared").distinct()
+    dealt = stage(_dealt(shared, _buckets(shared)), "dealt")
+    sets = stage(_sets(docs, dealt.select("doc_id").distinct(), width), "sets")
+    places = known.select("doc_id", "n", "point")
+
+    pairs = _pairs(dealt.withColumn("class", F.col("doc_id")).join(places, "doc_id"), percent, best=True)
+    links = stage(_verified(stage(pairs, "pairs"), sets, percent), "links")
     found = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("known"))
     marked = stage(dealt.join(found, "doc_id", "left").withColumn("class", F.coalesce("known", "doc_id")).drop("known"), "marked")
     keys = ["shingle", "i", "j"]
     split = marked.groupBy(*keys).agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select(*keys)
-    more = _verified(_pairs(marked.join(split, keys, "left_semi"), percent, best=False), docs, width, percent)
+    pairs = _pairs(marked.join(split, keys, "left_semi").join(places, "doc_id"), percent, best=False)
+    more = _verified(stage(pairs, "pairs"), sets, percent)
     linked = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "linked"})
 
     classes = classes.join(linked, "class", "left").select("digest", F.coalesce("linked", "class").alias("reached"))
