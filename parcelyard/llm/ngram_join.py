@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ SAMPLE_EVERY, COMMON = 16, 65_536
 #: Points of a bucket that one task compares; larger buckets are compared in blocks.
 BLOCK = 2048
 LEAF = 32
+FILTER_BITS = 1 << 26
 
 _PLACES = seeded(99, 64)
 
@@ -187,10 +189,10 @@ class RTree:
 
 
 def _candidates(points: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent: int, apart: np.ndarray, best: bool):
-    """Index pairs (later, earlier by id) within the bound whose `apart` classes differ; or the best one for each."""
+    """Index pairs (later, earlier by id) within the bound whose `apart` classes differ, and their scores; or each one's best."""
     tree = RTree(points, sizes) if len(ids) > LEAF else None
     everything = np.arange(len(ids))
-    left, right = [], []
+    left, right, scores = [], [], []
     for group in tree.leaves if tree else [everything]:
         partners = [everything]
         if tree:
@@ -200,8 +202,8 @@ def _candidates(points: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent:
             shared = np.minimum(points[group][:, None, :], points[leaf][None, :, :]).sum(axis=2)
             fits = (100 + percent) * shared >= percent * (sizes[group][:, None] + sizes[leaf][None, :])
             fits &= (ids[leaf][None, :] < ids[group][:, None]) & (apart[leaf][None, :] != apart[group][:, None])
+            score = np.where(fits, shared * 1_000_000 // (sizes[group][:, None] + sizes[leaf][None, :] - shared + 1), -1)
             if best:
-                score = np.where(fits, shared * 1_000_000 // (sizes[group][:, None] + sizes[leaf][None, :] - shared + 1), -1)
                 at = score.argmax(axis=1)
                 value = score[np.arange(len(group)), at]
                 better = value > top
@@ -210,27 +212,32 @@ def _candidates(points: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent:
                 a, b = np.nonzero(fits)
                 left.append(group[a])
                 right.append(leaf[b])
+                scores.append(score[a, b])
         if best:
             left.append(group[chosen >= 0])
             right.append(chosen[chosen >= 0])
-    return np.concatenate(left), np.concatenate(right)
+            scores.append(top[chosen >= 0])
+    return tuple(np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right, scores))
 
 
 def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of each bucket or pair of blocks. `dealt` has a column `class`: pairs within one are left out."""
+    """Candidate pairs (a, b) of each bucket or pair of blocks, or the best of them for each `a`.
+
+    `dealt` has a column `class`: pairs within one are left out.
+    """
     columns = ["shingle", "i", "j", "mine", "doc_id", "n", "class", "point"]
-    schema = "a long, b long"
+    schema = "a long, b long, score long"
     target = pa_schema(dealt.sparkSession, schema)
 
     def solve(parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts)
         ids, sizes, kind, mine = (rows.column(c).to_numpy() for c in ("doc_id", "n", "class", "mine"))
         points = _unpacked(rows.column("point").to_pylist())
-        a, b = _candidates(points, sizes, ids, percent, kind, best)
-        if rows.column("i")[0] != rows.column("j")[0]:  # two blocks: each is compared within itself elsewhere
+        a, b, score = _candidates(points, sizes, ids, percent, kind, best)
+        if rows.column("i")[0] != rows.column("j")[0] and not best:  # two blocks: each is compared within itself elsewhere
             across = mine[a] != mine[b]
-            a, b = a[across], b[across]
-        return ids[a], ids[b]
+            a, b, score = a[across], b[across], score[across]
+        return ids[a], ids[b], score
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -254,7 +261,10 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in solve(held)], schema=target)
 
     ordered = dealt.select(columns).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "doc_id")
-    return ordered.mapInArrow(run, schema).distinct()
+    found = ordered.mapInArrow(run, schema)
+    if best:
+        return found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("top")).select("a", "top.b")
+    return found.select("a", "b").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -264,7 +274,28 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
         for low, high, sets in _rows(batch, width):
             yield {"doc_id": batch.column("doc_id").slice(low, high - low), "own": [s.tobytes() for s in sets]}
 
-    return map_batches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), cut, "doc_id long, own binary")
+    docs = docs.select("doc_id", "text").where(_may_be_in(ids)("doc_id")).join(ids, "doc_id", "left_semi")
+    return map_batches(docs, cut, "doc_id long, own binary")
+
+
+def _may_be_in(ids: DataFrame):
+    """A filter that passes every id of `ids` and few others, to keep texts out of a shuffle.
+
+    It is a bit map of `FILTER_BITS` hashed places, 8 MB however many ids there are; the exact join comes after it.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    marks = ids.select(place.alias("place")).select(F.floor(F.col("place") / 64).alias("word"), F.expr("shiftleft(1L, cast(place % 64 AS int))").alias("bit"))
+    words = marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shipped = ids.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def passes(places: pd.Series) -> pd.Series:
+        at = places.fillna(0).to_numpy(np.int64)
+        return pd.Series((shipped.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return lambda column: passes(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
