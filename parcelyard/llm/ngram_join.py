@@ -267,17 +267,6 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
     return found.select("a", "b").distinct()
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """The whole sets of some documents, cut from their texts again, so that only these are stored."""
-
-    def cut(batch):
-        for low, high, sets in _rows(batch, width):
-            yield {"doc_id": batch.column("doc_id").slice(low, high - low), "own": [s.tobytes() for s in sets]}
-
-    docs = docs.select("doc_id", "text").where(_may_be_in(ids)("doc_id")).join(ids, "doc_id", "left_semi")
-    return map_batches(docs, cut, "doc_id long, own binary")
-
-
 def _may_be_in(ids: DataFrame):
     """A filter that passes every id of `ids` and few others, to keep texts out of a shuffle.
 
@@ -298,16 +287,21 @@ def _may_be_in(ids: DataFrame):
     return lambda column: passes(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets link."""
-    both = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "own": "x"}), "a").join(sets.withColumnsRenamed({"doc_id": "b", "own": "y"}), "b")
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose sets link. Texts travel, not sets: they are half the size, and only those of some pair."""
+    pairs = stage(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").where(_may_be_in(ids)("doc_id"))
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
 
     def check(batch):
         keep = np.zeros(batch.num_rows, bool)
-        for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            keep[k] = 100 * common >= percent * (len(x) + len(y) - common) > 0
+        sides = [utf8(batch.column(c)) for c in ("x", "y")]
+        for low, high in steps(sides[0][1] + sides[1][1]):
+            mine, other = (shingles(data, offsets, low, high, width) for data, offsets in sides)
+            for k, x, y in zip(range(low, high), mine, other, strict=True):
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep[k] = 100 * common >= percent * (len(x) + len(y) - common) > 0
         kept = pa.array(keep)
         return {"a": batch.column("a").filter(kept), "b": batch.column("b").filter(kept)}
 
@@ -323,17 +317,16 @@ def join_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     shared = _shared(known.select(F.explode("firsts").alias("shingle"), "doc_id"))
     shared = stage(shared.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi"), "shared").distinct()
     dealt = stage(_dealt(shared, _buckets(shared)), "dealt")
-    sets = stage(_sets(docs, dealt.select("doc_id").distinct(), width), "sets")
     places = known.select("doc_id", "n", "point")
 
     pairs = _pairs(dealt.withColumn("class", F.col("doc_id")).join(places, "doc_id"), percent, best=True)
-    links = stage(_verified(stage(pairs, "pairs"), sets, percent), "links")
+    links = stage(_verified(pairs, docs, width, percent), "links")
     found = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("known"))
     marked = stage(dealt.join(found, "doc_id", "left").withColumn("class", F.coalesce("known", "doc_id")).drop("known"), "marked")
     keys = ["shingle", "i", "j"]
     split = marked.groupBy(*keys).agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select(*keys)
     pairs = _pairs(marked.join(split, keys, "left_semi").join(places, "doc_id"), percent, best=False)
-    more = _verified(stage(pairs, "pairs"), sets, percent)
+    more = _verified(pairs, docs, width, percent)
     linked = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "linked"})
 
     classes = classes.join(linked, "class", "left").select("digest", F.coalesce("linked", "class").alias("reached"))
