@@ -3,7 +3,7 @@
 A document is the set of its distinct `width`-word shingles (fewer words: the whole sequence as one). Two sets link
 when 100 * intersection >= `percent` * union.
 
-* Shingles are hashed into `GROUPS` groups; the counts per group are the document's point. Two sets share at most the
+* Shingles are hashed into groups, more for larger sets; the counts per group are the document's point. Two sets share at most the
   summed minima of their coordinates, and a bounding box holds the largest coordinate of each group, so the same sum
   bounds all points of a subtree.
 * Points are dealt to buckets by pigeonhole: sets that link share one of the first `n - ceil(percent * n / 100) + 1`
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import _GOLD, map_batches, mixed, pa_schema, seeded, stage, steps, table, utf8, words_of
 from .graph import components
 
-GROUPS = 256
+#: Groups for sets of up to twice as many shingles; the coarser counts are sums of the finer ones.
+GROUPS = (256, 1024, 4096, 16384)
 #: One document in so many is looked at to tell which shingles are common, and this many shingles are noted at most.
 SAMPLE_EVERY, COMMON = 16, 65_536
 #: Points of a bucket that one task compares; larger buckets are compared in blocks.
@@ -68,14 +69,22 @@ def _rows(batch: pa.RecordBatch, width: int):
         yield low, high, shingles(data, offsets, low, high, width)
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts in the narrowest unsigned type that holds them all."""
+def _grade(n):
+    return np.searchsorted(2 * np.array(GROUPS[:-1]), n, side="left")
+
+
+def _packed(own: np.ndarray) -> bytes:
+    """The counts of a set's groups, in the narrowest unsigned type that holds them all."""
+    groups = GROUPS[int(_grade(len(own)))]
+    counts = np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
     most = int(counts.max())
     return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
 
 
-def _unpacked(packed: list[bytes]) -> np.ndarray:
-    return np.array([np.frombuffer(x, f"<u{len(x) // GROUPS}") for x in packed], dtype=np.int32)
+def _unpacked(packed: list[bytes], sizes: np.ndarray, groups: int) -> np.ndarray:
+    """Points as rows of `groups` counts each."""
+    own = [GROUPS[k] for k in _grade(sizes)]
+    return np.array([np.frombuffer(x, f"<u{len(x) // g}").reshape(-1, groups).sum(axis=0, dtype=np.int32) for x, g in zip(packed, own, strict=True)])
 
 
 def _points(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -91,7 +100,7 @@ def _points(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> Da
                     late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 firsts.append(np.concatenate([s[~late][:keep], s[late][: max(0, keep - int((~late).sum()))]]).view(np.int64))
-                points.append(_packed(np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)))
+                points.append(_packed(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 me = ids[len(n)]
                 if me is not None:
@@ -232,8 +241,15 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
     def solve(parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts)
         ids, sizes, kind, mine = (rows.column(c).to_numpy() for c in ("doc_id", "n", "class", "mine"))
-        points = _unpacked(rows.column("point").to_pylist())
-        a, b, score = _candidates(points, sizes, ids, percent, kind, best)
+        packed, grades, found = rows.column("point").to_pylist(), _grade(sizes), []
+        for grade in np.unique(grades):  # partners are of the same grade or the next
+            some = np.flatnonzero((grades == grade) | (grades == grade + 1))
+            points = _unpacked([packed[k] for k in some], sizes[some], GROUPS[grade])
+            a, b, score = _candidates(points, sizes[some], ids[some], percent, kind[some], best)
+            a, b = some[a], some[b]
+            new = (grades[a] == grade) | (grades[b] == grade) if not best else slice(None)
+            found.append((a[new], b[new], score[new]))
+        a, b, score = (np.concatenate(x) for x in zip(*found, strict=True))
         if rows.column("i")[0] != rows.column("j")[0] and not best:  # two blocks: each is compared within itself elsewhere
             across = mine[a] != mine[b]
             a, b, score = a[across], b[across], score[across]
