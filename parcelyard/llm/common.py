@@ -6,15 +6,19 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelyard.workspace import shared_folder
 
 #: Bytes of text that one vectorised step works on; a longer document makes a step of its own.
 STEP_BYTES = 1 << 20
+#: Places of the bit map of `may_be_in`.
+FILTER_BITS = 1 << 26
 
-_GOLD = np.uint64(0x9E3779B97F4A7C15)
+GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 
@@ -93,7 +97,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def seeded(seed: int, n: int) -> np.ndarray:
     """`n` 64-bit numbers from a seed."""
     with np.errstate(over="ignore"):
-        return mixed((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed)) * _GOLD)
+        return mixed((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed)) * GOLD)
 
 
 # Lookup tables by byte value: ASCII lower case, and the white space that separates words.
@@ -149,3 +153,24 @@ def words_of(data: np.ndarray, offsets: np.ndarray, low: int, high: int) -> tupl
     part = offsets[low : high + 1]
     starts, ends = word_spans(data, part)
     return span_hashes(data, int(part[0]), starts, ends), np.searchsorted(starts, part - part[0])
+
+
+def may_be_in(ids: DataFrame):
+    """A filter that passes every value of the one column of `ids` and few others, to keep texts out of a shuffle.
+
+    It is a bit map of `FILTER_BITS` hashed places, 8 MB however many values there are; the exact join comes after it.
+    """
+    column = ids.columns[0]
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    marks = ids.select(place.alias("place")).select(F.floor(F.col("place") / 64).alias("word"), F.expr("shiftleft(1L, cast(place % 64 AS int))").alias("bit"))
+    words = marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shipped = ids.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def passes(places: pd.Series) -> pd.Series:
+        at = places.fillna(0).to_numpy(np.int64)
+        return pd.Series((shipped.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return lambda *by: passes(F.pmod(F.xxhash64(*by), F.lit(FILTER_BITS)))

@@ -22,12 +22,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _GOLD, map_batches, mixed, pa_schema, seeded, stage, steps, table, utf8, words_of
+from .common import GOLD, map_batches, may_be_in, mixed, pa_schema, seeded, stage, steps, table, utf8, words_of
 from .graph import components
 
 #: Groups for sets of up to twice as many shingles; the coarser counts are sums of the finer ones.
@@ -37,9 +36,6 @@ SAMPLE_EVERY, COMMON = 16, 65_536
 #: Points of a bucket that one task compares; larger buckets are compared in blocks.
 BLOCK = 2048
 LEAF = 32
-FILTER_BITS = 1 << 26
-
-_PLACES = seeded(99, 64)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, low: int, high: int, width: int) -> list[np.ndarray]:
@@ -56,7 +52,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, low: int, high: int, width:
             if b - a >= width:
                 out.append(np.unique(rolled[a : b - width + 1]))
             elif b > a:
-                few = (words[a:b] * places[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * _GOLD
+                few = (words[a:b] * places[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * GOLD
                 out.append(mixed(np.array([few])))
             else:
                 out.append(np.zeros(0, np.uint64))
@@ -283,31 +279,11 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
     return found.select("a", "b").distinct()
 
 
-def _may_be_in(ids: DataFrame):
-    """A filter that passes every id of `ids` and few others, to keep texts out of a shuffle.
-
-    It is a bit map of `FILTER_BITS` hashed places, 8 MB however many ids there are; the exact join comes after it.
-    """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    marks = ids.select(place.alias("place")).select(F.floor(F.col("place") / 64).alias("word"), F.expr("shiftleft(1L, cast(place % 64 AS int))").alias("bit"))
-    words = marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    held = np.zeros(FILTER_BITS // 64, np.int64)
-    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    shipped = ids.sparkSession.sparkContext.broadcast(held)
-
-    @F.pandas_udf("boolean")
-    def passes(places: pd.Series) -> pd.Series:
-        at = places.fillna(0).to_numpy(np.int64)
-        return pd.Series((shipped.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    return lambda column: passes(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose sets link. Texts travel, not sets: they are half the size, and only those of some pair."""
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").where(_may_be_in(ids)("doc_id"))
+    texts = docs.select("doc_id", "text").where(may_be_in(ids)("doc_id"))
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
 
     def check(batch):
