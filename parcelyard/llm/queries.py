@@ -4,13 +4,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import url_filter
+from .best_fit import op6_best_fit
+from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
+from .suffix_dedup import op1_suffix_dedup
+from .url_filter import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
+        op3_url_filter,
+        op6_best_fit,
+        op8_mixing,
         op9_ngram_join,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(url_filter.ORACLE_SQL)
