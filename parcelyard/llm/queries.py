@@ -4,22 +4,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import url_filter
+from . import url_filter, voronoi_knn
 from .best_fit import op6_best_fit
 from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
+from .projection_forest import op10_projection_forest
 from .suffix_dedup import op1_suffix_dedup
 from .url_filter import op3_url_filter
+from .voronoi_knn import op5_voronoi_knn
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
         op3_url_filter,
+        op5_voronoi_knn,
         op6_best_fit,
         op8_mixing,
         op9_ngram_join,
+        op10_projection_forest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = dict(url_filter.ORACLE_SQL)
+ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL

@@ -82,14 +82,11 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of `pages` (page_id, url)."""
     rules = list(rules)
     tries = [RuleTrie(rules[at : at + MOST_RULES]) for at in range(0, len(rules), MOST_RULES)]
-    if len(tries) > 1:
-        tries = [pages.sparkSession.sparkContext.broadcast(t) for t in tries]
 
-    def passed(trie):
+    def passed(trie: RuleTrie):
         def step(batch: pa.RecordBatch) -> dict:
             split = [split_url(u) for u in batch.column("url").to_pylist()]
-            held = trie if isinstance(trie, RuleTrie) else trie.value
-            new = [held.match(*s) for s in split]
+            new = [trie.match(*s) for s in split]
             if "size" in batch.schema.names:
                 old = zip(*(batch.column(c).to_pylist() for c in ("size", "host_size", "rule", "verdict")), strict=True)
                 new = [max((m for m in (n, o if o[0] is not None else None) if m), default=None) for n, o in zip(new, old, strict=True)]
