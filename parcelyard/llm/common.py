@@ -111,13 +111,13 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words in `data[offsets[0]:offsets[-1]]`; words end at white space and at a row's end.
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in `data[offsets[0]:offsets[-1]]`; words end at bytes `between` and at a row's end.
 
     Positions are relative to `offsets[0]`.
     """
     low, high = int(offsets[0]), int(offsets[-1])
-    inside = ~SPACE[data[low:high]]
+    inside = ~between[data[low:high]]
     if not len(inside):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     fresh = np.zeros(len(inside) + 1, bool)
@@ -148,10 +148,17 @@ def span_hashes(data: np.ndarray, low: int, starts: np.ndarray, ends: np.ndarray
     return out
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+def hashes_of(words: list[str]) -> np.ndarray:
+    """The hashes that `span_hashes` gives to some words."""
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w.encode()) for w in words])
+    return span_hashes(data, 0, np.concatenate([[0], ends[:-1]]), ends)
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, low: int, high: int, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of rows `low` to `high`, and the number of words before each row (one more entry than rows)."""
     part = offsets[low : high + 1]
-    starts, ends = word_spans(data, part)
+    starts, ends = word_spans(data, part, between)
     return span_hashes(data, int(part[0]), starts, ends), np.searchsorted(starts, part - part[0])
 
 

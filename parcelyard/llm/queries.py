@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import url_filter, voronoi_knn
 from .best_fit import op6_best_fit
+from .class_lm import op2_class_lm
 from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
 from .projection_forest import op10_projection_forest
+from .quality import op7_quality
 from .suffix_dedup import op1_suffix_dedup
 from .url_filter import op3_url_filter
 from .voronoi_knn import op5_voronoi_knn
@@ -17,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
+        op2_class_lm,
         op3_url_filter,
         op5_voronoi_knn,
         op6_best_fit,
+        op7_quality,
         op8_mixing,
         op9_ngram_join,
         op10_projection_forest,
