@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import url_filter, voronoi_knn
 from .best_fit import op6_best_fit
 from .class_lm import op2_class_lm
+from .license_scan import op4_license_scan
 from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
 from .projection_forest import op10_projection_forest
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_suffix_dedup,
         op2_class_lm,
         op3_url_filter,
+        op4_license_scan,
         op5_voronoi_knn,
         op6_best_fit,
         op7_quality,
