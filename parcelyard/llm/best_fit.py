@@ -18,15 +18,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, stage, table, utf8
+from .common import map_batches, stage, steps, table, utf8
 
 END, SEQUENCE, GROUP_PIECES = 0, 2048, 20_000
 
 
 class WordEncoder(dict):
-    """Token ids of white-space-separated words, as little-endian 32-bit bytes; `MOST` words are remembered.
+    """Token ids of white-space-separated words, as little-endian 32-bit bytes; `MOST` words are remembered for good.
 
-    The vocabulary never joins words over white space, nor a letter with the punctuation after it.
+    The vocabulary never joins words over white space, nor an ASCII letter with the punctuation after it, so words are
+    looked up one by one, and new ones are encoded many at a time.
     """
 
     MOST = 300_000
@@ -37,20 +38,41 @@ class WordEncoder(dict):
 
         super().__init__()
         self.encode = Tokenizer.from_file(path).encode
+        self.passing: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(b".,;:!?|")
-        if len(core) < len(word) and core and 97 <= core[-1] <= 122:
-            ids = self[core] + self[word[len(core) :]]
-        else:
-            ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < self.MOST:
-            self[word] = ids
-        return ids
-
-    def text(self, text: bytes) -> bytes:
-        words = (text if b"<|" in text else text.lower()).split()
-        return b"".join(map(self.__getitem__, words))
+        return self.passing[word]
+
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {}
+        for at in range(0, len(words), 2000):
+            some = [w.decode() for w in words[at : at + 2000]]
+            starts = np.cumsum([0, *(len(w) + 1 for w in some)])
+            made = self.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(made.ids, "<u4")
+            cuts = np.searchsorted([o[0] for o in made.offsets], starts)
+            out |= {w: ids[a:b].tobytes() for w, a, b in zip(words[at : at + 2000], cuts[:-1], cuts[1:], strict=True)}
+        return out
+
+    def learn(self, words: set[bytes]) -> None:
+        """Make all of `words` known until the next call, and the first `MOST` ever met for good."""
+        new = {w for w in words if w not in self}
+        cores = {}
+        for word in new:
+            core = word.rstrip(b".,;:!?|")
+            if len(core) < len(word) and core and 97 <= core[-1] <= 122:
+                cores[word] = core, word[len(core) :]
+        parts = {p for pair in cores.values() for p in pair if p not in self}
+        known = self._encoded(sorted((new - cores.keys()) | parts))
+        for word, pair in cores.items():
+            known[word] = b"".join(known[p] if p in known else self[p] for p in pair)
+        self.passing = {}
+        for word, ids in known.items():
+            (self if len(self) < self.MOST else self.passing)[word] = ids
+
+
+def _words(text: bytes) -> list[bytes]:
+    return (text if b"<|" in text else text.lower()).split()
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
@@ -61,11 +83,14 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
         encoder = held[0] if held else held.append(WordEncoder(tokenizer)) or held[0]
         data, offsets = utf8(batch.column("text"))
         mark, row, parts = np.array([end], "<u4").tobytes(), [], []
-        for k, (low, high) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-            ids = encoder.text(data[low:high].tobytes()) + mark
-            for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                row.append(k)
-                parts.append((piece, at // 4, ids[at : at + 4 * size]))
+        for first, last in steps(offsets, 4 << 20):
+            texts = [_words(data[a:b].tobytes()) for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True)]
+            encoder.learn(set().union(*texts))
+            for k, words in enumerate(texts, first):
+                ids = b"".join(map(encoder.__getitem__, words)) + mark
+                for piece, at in enumerate(range(0, len(ids), 4 * size)):
+                    row.append(k)
+                    parts.append((piece, at // 4, ids[at : at + 4 * size]))
         made = {
             "doc_id": batch.column("doc_id").take(np.array(row, np.int64)),
             "piece": [p[0] for p in parts],
