@@ -22,6 +22,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,6 +174,7 @@ def _shard_classes(bodies: list[bytes], windows: np.ndarray, length: int):
 
 
 _OPEN = "shard string, anchor long, spread boolean, copies long, doc_id long, mark long, start long, windows long, body binary"
+_PARTS = ["shard", "anchor", "spread", "copies", "start", "windows"]
 _FOUND = "doc_id long, mark long, low long, high long, anchor long, shard string, name long, count long"
 
 
@@ -251,17 +253,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     part = F.concat_ws("/", "anchor", F.pmod("print", F.ceil(F.col("kinds") / SHARD_SEGMENTS)))
     named = rest.withColumn("spread", spread).withColumn("shard", F.when(spread, part).otherwise(F.pmod("anchor", F.lit(shards)).cast("string")))
 
+    own = named.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_list(F.struct(*_PARTS)).alias("parts"))
+    own = stage(own, "parts")
     keys = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("mark") == F.col("m")]
-    named = named.withColumnsRenamed({"doc_id": "d", "mark": "m"})
-    texts = docs.where(may_be_in(named.select("m"))("mark"))
-    inputs = texts.join(named, keys).select("text", "shard", "anchor", "spread", "copies", "doc_id", "mark", "start", "windows")
+    texts = docs.where(may_be_in(own.select("m"))("mark"))
+    inputs = texts.join(own, keys).select("doc_id", "mark", "text", "parts")
 
     def body(batch):
         data, offsets = utf8(batch.column("text"))
-        start, windows = (batch.column(c).to_numpy() for c in ("start", "windows"))
-        at = offsets[:-1] + start
-        bodies = [data[a : a + w + length - 1].tobytes() for a, w in zip(at, windows, strict=True)]
-        return {c: batch.column(c) for c in batch.schema.names if c != "text"} | {"body": bodies}
+        lists, values = batch.column("parts"), batch.column("parts").flatten()
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        parts = {c: values.field(c) for c in _PARTS}
+        start, windows = parts["start"].to_numpy(), parts["windows"].to_numpy()
+        for low in range(0, len(row), 4096):
+            some = slice(low, low + 4096)
+            ends = zip((offsets[row[some]] + start[some]).tolist(), windows[some].tolist(), strict=True)
+            made = {c: v.slice(low, 4096) for c, v in parts.items()} | {c: batch.column(c).take(pa.array(row[some])) for c in ("doc_id", "mark")}
+            yield made | {"body": [data[a : a + w + length - 1].tobytes() for a, w in ends]}
 
     found = stage(map_batches(inputs, body, _OPEN).groupBy("shard").applyInPandas(_solve_shard(length), _FOUND), "found")
     lists = found.where("count > 0")
