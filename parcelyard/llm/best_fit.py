@@ -11,7 +11,9 @@ Null and empty texts are one piece that holds `END` alone. Repeated rows are pac
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ class WordEncoder(dict):
     looked up one by one, and new ones are encoded many at a time.
     """
 
-    MOST = 300_000
+    MOST = 700_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -71,16 +73,23 @@ class WordEncoder(dict):
             (self if len(self) < self.MOST else self.passing)[word] = ids
 
 
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of this process: a worker keeps it from task to task, so words are encoded once a worker, not once a task."""
+    kept = sys.modules.setdefault("_kept_word_encoders", ModuleType("_kept_word_encoders")).__dict__
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def _words(text: bytes) -> list[bytes]:
     return (text if b"<|" in text else text.lower()).split()
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, the ids; `spread` tells equal rows of a batch apart."""
-    held: list[WordEncoder] = []
 
     def step(batch):
-        encoder = held[0] if held else held.append(WordEncoder(tokenizer)) or held[0]
+        encoder = _encoder(tokenizer)
         data, offsets = utf8(batch.column("text"))
         mark, row, parts = np.array([end], "<u4").tobytes(), [], []
         for first, last in steps(offsets, 4 << 20):
