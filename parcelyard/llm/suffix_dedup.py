@@ -175,28 +175,40 @@ def _shard_classes(bodies: list[bytes], windows: np.ndarray, length: int):
 
 _OPEN = "shard string, anchor long, spread boolean, copies long, doc_id long, mark long, start long, windows long, body binary"
 _PARTS = ["shard", "anchor", "spread", "copies", "start", "windows"]
-_FOUND = "doc_id long, mark long, low long, high long, anchor long, shard string, name long, count long"
+_FOUND = "doc_id long, mark long, low long, high long, part int, names array<long>, docs array<long>, marks array<long>, lows array<long>"
 
 
-def _solve_shard(length: int):
+def _solve_shard(length: int, parts: int):
+    """Spans of a shard; for spread anchors also its distinct windows: a sorted list for each of `parts` ranges of names.
+
+    A window that the shard holds once comes with its place, the others with place -1, as they are known to repeat.
+    """
+
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["anchor", "doc_id", "mark", "start"]).reset_index(drop=True)
         kind, body, place, text, at = _shard_classes(list(rows["body"]), rows["windows"].to_numpy(), length)
         _, kind, count = np.unique(kind, return_inverse=True, return_counts=True)
         alone = rows["copies"].to_numpy()[body] == 1
         hit = (count[kind] > 1) & alone
-        out = [_spans(rows, body[hit], place[hit], length)]
+        out = [_spans(rows, body[hit], place[hit], length).astype("Int64")]
         if rows["spread"].any():
             wide = np.flatnonzero(rows["spread"].to_numpy()[body])
             wide = wide[np.unique(kind[wide], return_index=True)[1]]  # one of each class
             names = window_hashes(text, length)[1][at[wide]]
+            order = np.argsort(names)
+            wide, names = wide[order], names[order]
             single = (count[kind[wide]] == 1) & alone[wide]
-            place_of = rows["start"].to_numpy()[body[wide]] + place[wide]
-            listed = rows.iloc[body[wide]][["doc_id", "mark", "anchor", "shard"]].reset_index(drop=True)
-            listed["low"], listed["high"] = np.where(single, place_of, -1), place_of + length
-            listed["name"], listed["count"] = names.view(np.int64), np.where(single, 1, 2)
-            out.append(listed)
-        return pd.concat(out)[[c.split()[0] for c in _FOUND.split(", ")]]
+            lows = np.where(single, rows["start"].to_numpy()[body[wide]] + place[wide], -1)
+            docs, marks = (rows[c].to_numpy()[body[wide]] for c in ("doc_id", "mark"))
+            ranges = [int(-(-(p << 64) // parts)) for p in range(1, parts)]
+            cuts = np.concatenate([[0], np.searchsorted(names, np.array(ranges, np.uint64)), [len(names)]]).astype(int)
+            columns = {"names": names.view(np.int64), "docs": docs, "marks": marks, "lows": lows}
+            lists = [{"part": p} | {c: v[x:y].tolist() for c, v in columns.items()} for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+            out.append(pd.DataFrame(lists))
+        found = pd.concat(out).reindex(columns=[c.split()[0] for c in _FOUND.split(", ")])
+        for c in ("names", "docs", "marks", "lows"):
+            found[c] = found[c].astype(object).where(found[c].notna(), None)
+        return found.astype({c: "Int64" for c in ("doc_id", "mark", "low", "high", "part")})
 
     return solve
 
@@ -210,16 +222,30 @@ def _spans(rows: pd.DataFrame, body: np.ndarray, place: np.ndarray, length: int)
     last = np.concatenate([cut, [len(body) - 1]])[: len(first)].astype(np.int64)
     out = rows.iloc[body[first]][["doc_id", "mark"]].reset_index(drop=True)
     start = rows["start"].to_numpy()[body[first]]
-    return out.assign(low=start + place[first], high=start + place[last] + length, anchor=None, shard=None, name=None, count=0)
+    return out.assign(low=start + place[first], high=start + place[last] + length)
+
+
+def _merge_lists(length: int):
+    """Windows of one list that another list of the same range holds too, by binary search."""
 
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.array(x, np.int64).view(np.uint64) for x in rows["names"]]
+        everywhere = np.sort(np.concatenate(lists))
+        out = []
+        for names, docs, marks, lows in zip(lists, rows["docs"], rows["marks"], rows["lows"], strict=True):
+            held = np.searchsorted(everywhere, names, side="right") - np.searchsorted(everywhere, names, side="left")
+            hit = np.flatnonzero((held > 1) & (np.array(lows) >= 0))
+            own = pd.DataFrame({"doc_id": pd.Series(docs, dtype="Int64"), "mark": marks, "start": lows}).iloc[hit].reset_index(drop=True)
+            key = own.groupby(["doc_id", "mark"], dropna=False).ngroup().to_numpy()
+            own["key"] = key
+            own = own.drop_duplicates(["key", "start"]).sort_values(["key", "start"]).reset_index(drop=True)
+            fresh = np.concatenate([[True], (np.diff(own["key"]) != 0) | (np.diff(own["start"]) > length)])[: len(own)]
+            run = np.cumsum(fresh)
+            spans = own.groupby(run).agg(doc_id=("doc_id", "first"), mark=("mark", "first"), low=("start", "min"), high=("start", "max"))
+            out.append(spans.assign(high=spans["high"] + length))
+        return pd.concat(out)
 
-def _merge_lists(rows: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one list that another list holds too, by binary search."""
-    keys = mixed(rows["anchor"].to_numpy(np.int64).view(np.uint64)) ^ rows["name"].to_numpy(np.int64).view(np.uint64)
-    everywhere = np.sort(keys)
-    held = np.searchsorted(everywhere, keys, side="right") - np.searchsorted(everywhere, keys, side="left")
-    hit = (held > 1) & (rows["low"].to_numpy() >= 0)
-    return rows.loc[hit, ["doc_id", "mark", "low", "high"]]
+    return merge
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -271,11 +297,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             made = {c: v.slice(low, 4096) for c, v in parts.items()} | {c: batch.column(c).take(pa.array(row[some])) for c in ("doc_id", "mark")}
             yield made | {"body": [data[a : a + w + length - 1].tobytes() for a, w in ends]}
 
-    found = stage(map_batches(inputs, body, _OPEN).groupBy("shard").applyInPandas(_solve_shard(length), _FOUND), "found")
-    lists = found.where("count > 0")
-    parts = -(-lists.count() // MERGED_ROWS) or 1
-    merged = lists.groupBy(F.pmod(F.xxhash64("anchor", "name"), F.lit(parts))).applyInPandas(_merge_lists, "doc_id long, mark long, low long, high long")
-    return whole.unionByName(found.where("count = 0").select("doc_id", "mark", "low", "high")).unionByName(merged)
+    parts = -(-(rest.where(spread).agg(F.sum("windows")).first()[0] or 0) // MERGED_ROWS) or 1
+    found = stage(map_batches(inputs, body, _OPEN).groupBy("shard").applyInPandas(_solve_shard(length, parts), _FOUND), "found")
+    merged = found.where("part IS NOT NULL").groupBy("part").applyInPandas(_merge_lists(length), "doc_id long, mark long, low long, high long")
+    return whole.unionByName(found.where("part IS NULL").select("doc_id", "mark", "low", "high")).unionByName(merged)
 
 
 def united(spans: list, size: int) -> np.ndarray:
