@@ -69,26 +69,24 @@ def _grade(n):
     return np.searchsorted(2 * np.array(GROUPS[:-1]), n, side="left")
 
 
-def _packed(own: np.ndarray) -> bytes:
+def _packed(own: np.ndarray, groups: int) -> bytes:
     """The counts of a set's groups, in the narrowest unsigned type that holds them all."""
-    groups = GROUPS[int(_grade(len(own)))]
     counts = np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
     most = int(counts.max())
     return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
 
 
-def _unpacked(packed: list[bytes], sizes: np.ndarray, groups: int) -> np.ndarray:
-    """Points as rows of `groups` counts each."""
-    own = [GROUPS[k] for k in _grade(sizes)]
+def _unpacked(packed: list[bytes], own: list[int], groups: int) -> np.ndarray:
+    """Points of `own` groups each as rows of `groups` counts."""
     return np.array([np.frombuffer(x, f"<u{len(x) // g}").reshape(-1, groups).sum(axis=0, dtype=np.int32) for x, g in zip(packed, own, strict=True)])
 
 
 def _points(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, firsts, point). Of equal sets in a batch, the one with the smallest id lists its first shingles."""
+    """(doc_id, n, digest, firsts, rough and fine point). Of equal sets in a batch, the one with the smallest id lists its first shingles."""
 
     def step(batch):
         ids = batch.column("doc_id").to_pylist()
-        n, firsts, points, digests, lister = [], [], [], [], {}
+        n, firsts, rough, points, digests, lister = [], [], [], [], [], {}
         for _, _, sets in _rows(batch, width):
             for s in sets:
                 late = np.zeros(len(s), bool)
@@ -96,16 +94,17 @@ def _points(docs: DataFrame, common: np.ndarray, width: int, percent: int) -> Da
                     late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 firsts.append(np.concatenate([s[~late][:keep], s[late][: max(0, keep - int((~late).sum()))]]).view(np.int64))
-                points.append(_packed(s))
+                rough.append(_packed(s, GROUPS[0]))
+                points.append(_packed(s, GROUPS[int(_grade(len(s)))]))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 me = ids[len(n)]
                 if me is not None:
                     lister[digests[-1]] = min(me, lister.get(digests[-1], me))
                 n.append(len(s))
         firsts = [f if lister.get(d) == i else None for f, d, i in zip(firsts, digests, ids, strict=True)]
-        return {"doc_id": batch.column("doc_id"), "n": n, "digest": digests, "firsts": firsts, "point": points}
+        return {"doc_id": batch.column("doc_id"), "n": n, "digest": digests, "firsts": firsts, "rough": rough, "point": points}
 
-    return map_batches(docs, step, "doc_id long, n long, digest binary, firsts array<long>, point binary")
+    return map_batches(docs, step, "doc_id long, n long, digest binary, firsts array<long>, rough binary, point binary")
 
 
 def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -226,30 +225,33 @@ def _candidates(points: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent:
 
 
 def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of each bucket or pair of blocks, or the best of them for each `a`.
+    """Candidate pairs (a, b) of each bucket or pair of blocks, with the bucket; or the best of them there for each `a`.
 
-    `dealt` has a column `class`: pairs within one are left out.
+    `dealt` has a column `class`: pairs within one are left out. The best ones are told by the coarsest counts alone.
     """
     columns = ["shingle", "i", "j", "mine", "doc_id", "n", "class", "point"]
-    schema = "a long, b long, score long"
+    schema = "a long, b long, score long, shingle long, i int, j int"
     target = pa_schema(dealt.sparkSession, schema)
 
     def solve(parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts)
         ids, sizes, kind, mine = (rows.column(c).to_numpy() for c in ("doc_id", "n", "class", "mine"))
-        packed, grades, found = rows.column("point").to_pylist(), _grade(sizes), []
+        packed = rows.column("point").to_pylist()
+        grades, found = np.zeros(len(ids), np.int64) if best else _grade(sizes), []
         for grade in np.unique(grades):  # partners are of the same grade or the next
             some = np.flatnonzero((grades == grade) | (grades == grade + 1))
-            points = _unpacked([packed[k] for k in some], sizes[some], GROUPS[grade])
+            held = [GROUPS[k] for k in grades[some]]
+            points = _unpacked([packed[k] for k in some], held, GROUPS[grade])
             a, b, score = _candidates(points, sizes[some], ids[some], percent, kind[some], best)
             a, b = some[a], some[b]
-            new = (grades[a] == grade) | (grades[b] == grade) if not best else slice(None)
+            new = (grades[a] == grade) | (grades[b] == grade)
             found.append((a[new], b[new], score[new]))
         a, b, score = (np.concatenate(x) for x in zip(*found, strict=True))
         if rows.column("i")[0] != rows.column("j")[0] and not best:  # two blocks: each is compared within itself elsewhere
             across = mine[a] != mine[b]
             a, b, score = a[across], b[across], score[across]
-        return ids[a], ids[b], score
+        key = [np.full(len(a), rows.column(c)[0].as_py()) for c in ("shingle", "i", "j")]
+        return ids[a], ids[b], score, key[0], key[1].astype(np.int32), key[2].astype(np.int32)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -273,10 +275,7 @@ def _pairs(dealt: DataFrame, percent: int, best: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in solve(held)], schema=target)
 
     ordered = dealt.select(columns).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "doc_id")
-    found = ordered.mapInArrow(run, schema)
-    if best:
-        return found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("top")).select("a", "top.b")
-    return found.select("a", "b").distinct()
+    return ordered.mapInArrow(run, schema)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -309,16 +308,19 @@ def join_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     shared = _shared(known.select(F.explode("firsts").alias("shingle"), "doc_id"))
     shared = stage(shared.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi"), "shared").distinct()
     dealt = stage(_dealt(shared, _buckets(shared)), "dealt")
-    places = known.select("doc_id", "n", "point")
 
-    pairs = _pairs(dealt.withColumn("class", F.col("doc_id")).join(places, "doc_id"), percent, best=True)
-    links = stage(_verified(pairs, docs, width, percent), "links")
+    rough = dealt.withColumn("class", F.col("doc_id")).join(known.select("doc_id", "n", F.col("rough").alias("point")), "doc_id")
+    first = stage(_pairs(rough, percent, best=True), "first")
+    best = first.groupBy("a").agg(F.max(F.struct("score", "b")).alias("top")).select("a", "top.b")
+    links = stage(_verified(best, docs, width, percent), "links")
     found = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("known"))
-    marked = stage(dealt.join(found, "doc_id", "left").withColumn("class", F.coalesce("known", "doc_id")).drop("known"), "marked")
+    # a bucket where no point has a partner within the bound has no pair
     keys = ["shingle", "i", "j"]
+    marked = dealt.join(first.select(*keys).distinct(), keys, "left_semi").join(found, "doc_id", "left")
+    marked = stage(marked.withColumn("class", F.coalesce("known", "doc_id")).drop("known"), "marked")
     split = marked.groupBy(*keys).agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select(*keys)
-    pairs = _pairs(marked.join(split, keys, "left_semi").join(places, "doc_id"), percent, best=False)
-    more = _verified(pairs, docs, width, percent)
+    fine = marked.join(split, keys, "left_semi").join(known.select("doc_id", "n", "point"), "doc_id")
+    more = _verified(_pairs(fine, percent, best=False).select("a", "b").distinct(), docs, width, percent)
     linked = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "linked"})
 
     classes = classes.join(linked, "class", "left").select("digest", F.coalesce("linked", "class").alias("reached"))
