@@ -17,20 +17,21 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .common import GOLD, mixed, stage, steps, table, utf8, word_spans
 
 WEIGHTS, EPOCHS, BUCKET, SEED = (5.0, 2.0, 1.0), 3.0, 2048, 20
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def word_count(text: pd.Series) -> pd.Series:
     data, offsets = utf8(pa.Array.from_pandas(text, type=pa.large_string()))
     counts = [np.diff(np.searchsorted(word_spans(data, p)[0], p - p[0])) for p in (offsets[a : b + 1] for a, b in steps(offsets))]
     return pd.Series(np.concatenate([*counts, np.zeros(0, np.int64)]))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _repeat_number(doc_id: pd.Series, size: pd.Series) -> pd.Series:
     """How often a row came before in its batch, so that equal rows can go to different buckets."""
     return pd.DataFrame({"d": doc_id.fillna(-1), "s": size}).groupby(["d", "s"]).cumcount().astype("int64")
