@@ -200,7 +200,7 @@ _cte("imputed", "features medians",
 _cte("scaling", "imputed",
      "SELECT " + _each("avg({c}) AS mean_{c}, stddev_pop({c}) AS dev_{c}") + " FROM imputed WHERE split = 'train'")
 
-_REVENUE = "CAST(price + freight_value AS DECIMAL(20,4))"
+_REVENUE = "CAST(price + freight_value AS DECIMAL(38,12))"
 
 ORACLE_SQL: dict[str, str] = {
     "clean_orders": _sql("orders_raw", "SELECT * EXCLUDE (k) FROM orders_raw"),
@@ -230,7 +230,7 @@ ORACLE_SQL: dict[str, str] = {
         ORDER BY delay_rate_percent DESC, customer_state LIMIT 10"""),
     "seller_revenue_top10": _sql("fact_delivery dim_seller", """
         SELECT s.seller_id, s.seller_city, s.seller_state, count(f.order_id) AS total_orders,
-               CAST(round(sum(CAST(f.price AS DECIMAL(20,4))), 2) AS DOUBLE) AS total_revenue,
+               CAST(round(sum(CAST(f.price AS DECIMAL(38,12))), 2) AS DOUBLE) AS total_revenue,
                round(avg(f.delivery_duration_hours), 2) AS avg_delivery_hours,
                CAST(sum(f.is_delayed) AS BIGINT) AS delayed_orders
         FROM fact_delivery f JOIN dim_seller s ON f.seller_id = s.seller_id

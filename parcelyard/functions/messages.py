@@ -5,7 +5,6 @@ from pyspark.sql import Column, functions as F
 # fixed values: keys every event message must have
 REQUIRED_KEYS = ("event_id", "order_id", "event_type", "event_timestamp", "produced_at")
 
-_END = "end-of-message"
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -19,22 +18,31 @@ def parsed_parts(text: Column) -> Column:
     """The message as the first of two array elements; NULL if that is not JSON.
 
     The parser stops at the end of the first value, so `{"a":1}}` alone would pass. With a known element
-    after it, trailing text breaks the array.
+    after it, trailing text breaks the array. Its key is the digest of the text, which no text can hold.
     """
-    return F.from_json(
-        F.concat(F.lit("["), text, F.lit(f',{{"{_END}":null}}]')), "array<map<string,string>>", _STRICT
-    )
+    closed = F.concat(F.lit("["), text, F.lit(',{"'), _end(text), F.lit('":null}]'))
+    return F.from_json(closed, "array<map<string,string>>", _STRICT)
 
 
-def object_fields(parts: Column) -> Column:
+def _end(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def object_fields(parts: Column, text: Column) -> Column:
     """The top-level fields of a message that is one JSON object; NULL for anything else."""
-    whole = (F.size(parts) == 2) & F.map_contains_key(F.get(parts, F.lit(1)), _END)
+    whole = (F.size(parts) == 2) & F.coalesce(F.map_contains_key(F.get(parts, F.lit(1)), _end(text)), F.lit(False))
     return F.when(whole, F.get(parts, F.lit(0)))
 
 
+def last_value(fields: Column, key: str) -> Column:
+    """The value of a key; the last one if a message repeats the key, as JSON readers of files have it."""
+    own = F.filter(F.map_entries(fields), lambda e: e["key"] == key)
+    return F.get(own, F.size(own) - 1)["value"]
+
+
 def is_json_value(text: Column) -> Column:
-    parts = F.from_json(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", _STRICT)
-    return F.coalesce(F.size(parts) == 2, F.lit(False))
+    parts = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), _end(text), F.lit('"]')), "array<string>", _STRICT)
+    return F.coalesce((F.size(parts) == 2) & (F.get(parts, F.lit(1)) == _end(text)), F.lit(False))
 
 
 def lacks_required_key(fields: Column) -> Column:

@@ -1,10 +1,13 @@
 """One row per key."""
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, functions as F
 
 
 def keep_one(df: DataFrame, *key: str) -> DataFrame:
-    """Keep the smallest row of each key, whatever the order of the input.
+    """Keep the row with the most known fields of each key, then the smallest, whatever the order of the input.
 
     `min` combines on the map side, so a key that holds a third of all rows reaches its reducer as one
     row per map task. A window over the key would send them all to one task.
@@ -12,5 +15,6 @@ def keep_one(df: DataFrame, *key: str) -> DataFrame:
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_kept"))
+    unknown = reduce(add, [F.col(c).isNull().cast("int") for c in rest])
+    kept = df.groupBy(*key).agg(F.min(F.struct(unknown.alias("_unknown"), *rest)).alias("_kept"))
     return kept.select(*[F.col(c) if c in key else F.col(f"_kept.{c}") for c in df.columns])

@@ -67,7 +67,7 @@ def check_messages(messages: DataFrame) -> DataFrame:
     """
     decoded = msg.decoded_text(F.col("value"))
     parsed = F.struct(decoded.alias("text"), msg.parsed_parts(decoded).alias("_parts"))
-    fields, text = msg.object_fields(F.col("_parts")), F.col("text")
+    fields, text = msg.object_fields(F.col("_parts"), F.col("text")), F.col("text")
     reason = (
         F.when(text.isNull(), "undecodable")
         .when(fields.isNull() & msg.is_json_value(text), "not_an_object")
@@ -91,7 +91,7 @@ def accepted_lines(checked: DataFrame) -> DataFrame:
 def accepted_events(checked: DataFrame) -> DataFrame:
     """Accepted messages as five text columns."""
     return checked.filter(F.col("reject_reason").isNull()).select(
-        *[F.col("fields")[name].alias(name) for name in EVENT_COLUMNS]
+        *[msg.last_value(F.col("fields"), name).alias(name) for name in EVENT_COLUMNS]
     )
 
 

@@ -150,9 +150,9 @@ def class_ratio(df: DataFrame) -> DataFrame:
 
 
 def known(column: str) -> Column:
-    """NaN counts as missing."""
+    """NaN and infinite values count as missing."""
     value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def exact_medians(df: DataFrame, columns=FEATURES) -> dict[str, float | None]:
@@ -181,6 +181,8 @@ def exact_medians(df: DataFrame, columns=FEATURES) -> dict[str, float | None]:
         for c, bins in _bin_counts(df, search).items():
             lower, upper = (_bin_of_rank(bins, rank) for rank in search[c][2:])
             if lower is upper:
+                if (lower["lo"], lower["hi"]) == search[c][:2]:
+                    raise ArithmeticError(f"the range of {c} does not narrow")
                 before = sum(b["n"] for b in bins if b["bin"] < lower["bin"])
                 search[c] = (lower["lo"], lower["hi"], search[c][2] - before, search[c][3] - before)
             else:  # the middle falls between two bins

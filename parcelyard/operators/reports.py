@@ -31,7 +31,7 @@ def _mean(total: str, count: str) -> Column:
 def monthly_performance(fact: DataFrame) -> DataFrame:
     """Orders, revenue and delay rate per purchase month, latest first."""
     purchased = F.col("order_purchase_timestamp")
-    revenue = (F.col("price") + F.col("freight_value")).cast("decimal(20,4)")
+    revenue = (F.col("price") + F.col("freight_value")).cast("decimal(38,12)")
     return (
         fact.groupBy(F.year(purchased).alias("order_year"), F.month(purchased).alias("order_month"))
         .agg(
@@ -66,7 +66,7 @@ def state_performance(
 
 def seller_revenue(fact: DataFrame, sellers: DataFrame, top: int = 10) -> DataFrame:
     """Sellers by revenue."""
-    revenue = F.round(F.sum(F.col("price").cast("decimal(20,4)")), 2).cast("double")
+    revenue = F.round(F.sum(F.col("price").cast("decimal(38,12)")), 2).cast("double")
     return (
         _totals_by(fact, "seller_id", revenue.alias("total_revenue"))
         .join(sellers.select("seller_id", "seller_city", "seller_state"), "seller_id")

@@ -1,20 +1,20 @@
 """Star schema: dimensions and the delivery fact."""
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType
 
 from parcelyard import schemas
 from parcelyard.functions import delay
 from parcelyard.functions.timestamps import date_key, wall_clock
 from parcelyard.operators.dedup import keep_one
 
-_PARTS = 10_000
-
-
-def _money_total(column: str) -> Column:
-    """Sum in whole ten-thousandths: exact whatever the order of the rows, and cheaper than decimals. NaN is
-    skipped like NULL; an amount too large for the count raises."""
-    amount = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
-    return F.sum(F.rint(amount * _PARTS).cast("bigint")) / _PARTS
+def _money_total(items: DataFrame, column: str) -> Column:
+    """Sum that does not depend on the order of the rows: decimals in their own type, other amounts with twelve
+    places. NaN is skipped like NULL; an amount too large for the type raises."""
+    amount = F.col(column)
+    if not isinstance(items.schema[column].dataType, DecimalType):
+        amount = F.nanvl(amount.cast("double"), F.lit(None).cast("double")).cast("decimal(38,12)")
+    return F.sum(amount).cast("double")
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
@@ -91,8 +91,8 @@ def order_items_agg(items: DataFrame) -> DataFrame:
         items.groupBy("order_id")
         .agg(
             first.alias("first"),
-            _money_total("price").alias("price"),
-            _money_total("freight_value").alias("freight_value"),
+            _money_total(items, "price").alias("price"),
+            _money_total(items, "freight_value").alias("freight_value"),
         )
         .select(
             "order_id",

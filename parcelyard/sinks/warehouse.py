@@ -57,7 +57,7 @@ def load_tables(
         try:
             status.append((name, replace_table(rows_of(), database, name), True, None))
         except Exception as problem:
-            status.append((name, None, False, str(problem).splitlines()[0]))
+            status.append((name, None, False, (str(problem).splitlines() or [type(problem).__name__])[0]))
     failed = [s for s in status if not s[2]]
     if failed and raise_on_error:
         raise RuntimeError(f"tables not loaded: {failed}")

@@ -1,6 +1,6 @@
 """Raw files, curated tables and warehouse tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelyard import schemas
 
@@ -8,8 +8,14 @@ CORRUPT_RECORD = "_corrupt_record"
 
 
 def raw_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One raw data set. The declared schema saves the inference pass and keeps zip prefixes as text."""
-    return spark.read.schema(schemas.RAW_FILES[name]).option("header", True).csv(path)
+    """One raw data set, by the names in its header, whatever their order; further columns are left out.
+
+    Values have the declared types; one that does not fit is NULL. A column that the header lacks raises.
+    """
+    read = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    if lacking := [c for c in schemas.RAW_FILES[name].names if c not in read.columns]:
+        raise ValueError(f"{name}: the header of {path} lacks {lacking}")
+    return read.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.RAW_FILES[name]])
 
 
 def event_files(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 TOPIC = "delivery_events"
 BATCH_EVENTS = 500
 BATCH_WAIT = "10s"
+# events of one batch at most, so that the first start does not take the whole topic at once
+MAX_EVENTS = 100_000
 
 
 def topic_options(
@@ -17,7 +19,7 @@ def topic_options(
     topic: str = TOPIC,
     batch_events: int | None = BATCH_EVENTS,
     batch_wait: str = BATCH_WAIT,
-    max_events: int | None = None,
+    max_events: int | None = MAX_EVENTS,
 ) -> dict[str, str]:
     """Reader options: from the earliest offset on the first start, a batch once `batch_events` are
     waiting or `batch_wait` has passed, never more than `max_events` in one."""

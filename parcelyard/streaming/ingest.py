@@ -14,8 +14,9 @@ DEDUP_DELAY = "10 minutes"
 DEDUP_SALTS = 32
 
 
-def _batch_folder(sink: str, kind: str, batch_id: int) -> str:
-    return f"{sink.rstrip('/')}/{kind}/batch_id={batch_id}"
+def _batch_folder(sink: str, kind: str, query: str, batch_id: int) -> str:
+    """A folder of its own for each batch of each checkpoint: `query` is the id that the checkpoint keeps."""
+    return f"{sink.rstrip('/')}/{kind}/query={query}/batch_id={batch_id}"
 
 
 def start_ingest(
@@ -26,12 +27,13 @@ def start_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         checked = ev.check_messages(batch).persist()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         try:
             ev.accepted_lines(checked).write.mode("overwrite").text(
-                _batch_folder(sink, "accepted", batch_id)
+                _batch_folder(sink, "accepted", query, batch_id)
             )
             ev.rejected_messages(checked).write.mode("overwrite").parquet(
-                _batch_folder(sink, "rejected", batch_id)
+                _batch_folder(sink, "rejected", query, batch_id)
             )
         finally:
             checked.unpersist()
@@ -46,9 +48,8 @@ def ingested_events(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def ingested_rejects(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.schema("value binary, reject_reason string").parquet(
-        f"{sink.rstrip('/')}/rejected"
-    )
+    rejects = spark.read.schema("value binary, reject_reason string").option("recursiveFileLookup", True)
+    return rejects.parquet(f"{sink.rstrip('/')}/rejected")
 
 
 def stream_dedup(

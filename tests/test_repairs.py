@@ -1,0 +1,73 @@
+"""Cases that went wrong once."""
+
+import pytest
+from conftest import rows
+
+from parcelyard.functions import messages as msg
+from parcelyard.operators import evaluation, events as ev, features, star
+from parcelyard.operators.dedup import keep_one
+from parcelyard.sinks import warehouse
+from parcelyard.sources.files import raw_csv
+from parcelyard.streaming import ingest
+
+
+def test_small_amounts_add_up(spark):
+    items = spark.range(1000).selectExpr("'A' AS order_id", "id AS order_item_id", "'p' AS product_id", "'s' AS seller_id",
+                                         "0.00004D AS price", "CAST(0.000004 AS DECIMAL(10,6)) AS freight_value")
+    got = star.order_items_agg(items).first()
+    assert (got["price"], got["freight_value"]) == (0.04, 0.004)
+
+
+def test_metrics_take_the_predicted_class(spark):
+    df = spark.createDataFrame([(1, 0.5, 0.0), (0, 0.5, 0.0)], "is_delayed int, delay_probability double, predicted_is_delayed double")
+    assert rows(evaluation.classification_metrics(df, prediction="predicted_is_delayed")) == [(0.5, 0.0, 0.0, 0.0)]
+
+
+def test_the_fuller_row_stays(spark):
+    df = spark.createDataFrame([("c", None, None), ("c", "u", "SP")], "k string, a string, b string")
+    assert rows(keep_one(df, "k")) == [("c", "u", "SP")]
+
+
+def _message(text):
+    return text.encode()
+
+
+def test_messages(spark):
+    keys = ", ".join(f'"{k}": "x"' for k in msg.REQUIRED_KEYS)
+    twice = "{" + keys + ', "event_id": "b"}'
+    trailing = "{" + keys + '},{"end-of-message":1}]'
+    df = spark.createDataFrame([(_message(twice),), (_message(trailing),)], "value binary")
+    checked = ev.check_messages(df)
+    assert [r["event_id"] for r in ev.accepted_events(checked).collect()] == ["b"]
+    assert [r["reject_reason"] for r in ev.rejected_messages(checked).collect()] == ["malformed_json"]
+
+
+def test_infinite_values_are_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),), (2.0,)], "x double")
+    assert features.exact_medians(df, ["x"]) == {"x": 1.5}
+
+
+def test_csv_goes_by_header(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("seller_state,more,seller_id,seller_city,seller_zip_code_prefix\nSP,1,s1,sao paulo,01037\n")
+    got = raw_csv(spark, "sellers", str(tmp_path / "s.csv")).first().asDict()
+    assert got == {"seller_id": "s1", "seller_zip_code_prefix": "01037", "seller_city": "sao paulo", "seller_state": "SP"}
+    (tmp_path / "t.csv").write_text("seller_id\ns1\n")
+    with pytest.raises(Exception, match="seller_"):
+        raw_csv(spark, "sellers", str(tmp_path / "t.csv"))
+
+
+def test_a_failing_table_without_text(spark):
+    def fails():
+        raise ValueError
+
+    assert warehouse.load_tables(spark, "none", {"dim_customer": fails}).first()["error"] == "ValueError"
+
+
+def test_two_checkpoints_keep_both(spark, tmp_path):
+    for k in "ab":
+        (tmp_path / k).mkdir()
+        keys = ", ".join(f'"{x}": "{k}"' for x in msg.REQUIRED_KEYS)
+        (tmp_path / k / "m.txt").write_text("{" + keys + "}\n")
+        messages = spark.readStream.format("text").load(str(tmp_path / k))
+        ingest.start_ingest(messages, str(tmp_path / "sink"), str(tmp_path / f"checkpoint-{k}")).awaitTermination()
+    assert sorted(r["event_id"] for r in ingest.ingested_events(spark, str(tmp_path / "sink")).collect()) == ["a", "b"]
