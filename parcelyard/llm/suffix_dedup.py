@@ -113,8 +113,9 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     while len(slots):
         some = order[slots]
         own = rank[some]
-        after = rank[np.minimum(some + span, n)]
-        again = np.lexsort((after, own)) if n > 1 << 30 else np.argsort(own * (n + 2) + after + 1)
+        over = some + span - n  # of suffixes that end before, the shorter one comes first
+        after = np.where(over < 0, rank[np.minimum(some + span, n)], -1 - over)
+        again = np.argsort(own * (4 * n + 16) + after + 2 * n + 8)
         some, own, after = some[again], own[again], after[again]
         order[slots] = some
         fresh = np.concatenate([[True], (own[1:] != own[:-1]) | (after[1:] != after[:-1])])
