@@ -32,7 +32,7 @@ class WordEncoder(dict):
     looked up one by one, and new ones are encoded many at a time.
     """
 
-    MOST = 700_000
+    MOST = 300_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
