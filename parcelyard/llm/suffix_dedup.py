@@ -156,6 +156,7 @@ def common_prefixes(order: np.ndarray, keys: np.ndarray, most: int) -> np.ndarra
                 equal[~same] = sum((apart[~same] >> np.uint64(s) == 0).astype(np.int64) for s in (56, 48, 40, 32, 24, 16, 8))
             h[going] += equal
             going = going[same & (h[going] < most)]
+        h = np.where(j >= 0, np.minimum(h, n - np.maximum(i, j)), 0)  # not beyond the end of the text
         shared[i] = h
     return np.minimum(shared[order], most)
 
