@@ -91,8 +91,9 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
     def step(batch):
         encoder = _encoder(tokenizer)
         data, offsets = utf8(batch.column("text"))
-        mark, row, parts = np.array([end], "<u4").tobytes(), [], []
-        for first, last in steps(offsets, 4 << 20):
+        mark, made_before = np.array([end], "<u4").tobytes(), 0
+        for first, last in steps(offsets, 2 << 20):
+            row, parts = [], []
             texts = [_words(data[a:b].tobytes()) for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True)]
             encoder.learn(set().union(*texts))
             for k, words in enumerate(texts, first):
@@ -100,15 +101,16 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     row.append(k)
                     parts.append((piece, at // 4, ids[at : at + 4 * size]))
-        made = {
-            "doc_id": batch.column("doc_id").take(np.array(row, np.int64)),
-            "piece": [p[0] for p in parts],
-            "start": [p[1] for p in parts],
-            "length": [len(p[2]) // 4 for p in parts],
-            "ids_crc32": [zlib.crc32(p[2]) for p in parts],
-            "spread": np.arange(len(parts)),
-        }
-        return made | ({"ids": [np.frombuffer(p[2], "<u4").astype(np.int32) for p in parts]} if with_ids else {})
+            made = {
+                "doc_id": batch.column("doc_id").take(np.array(row, np.int64)),
+                "piece": [p[0] for p in parts],
+                "start": [p[1] for p in parts],
+                "length": [len(p[2]) // 4 for p in parts],
+                "ids_crc32": [zlib.crc32(p[2]) for p in parts],
+                "spread": made_before + np.arange(len(parts)),
+            }
+            made_before += len(parts)
+            yield made | ({"ids": [np.frombuffer(p[2], "<u4").astype(np.int32) for p in parts]} if with_ids else {})
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, spread long" + ", ids array<int>" * with_ids
     return map_batches(docs.select("doc_id", "text"), step, schema)

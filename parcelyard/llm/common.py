@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from parcelyard.workspace import shared_folder
 
 #: Bytes of text that one vectorised step works on; a longer document makes a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 #: Places of the bit map of `may_be_in`.
 FILTER_BITS = 1 << 26
 
@@ -35,6 +35,14 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, and its peak would otherwise stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], dict | Iterator[dict]], schema: str) -> DataFrame:
     """`mapInArrow` for a function that turns one batch into one or several column dictionaries."""
     target = pa_schema(df.sparkSession, schema)
@@ -46,6 +54,8 @@ def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], dict | Iterator[
             made = step(batch)
             for columns in [made] if isinstance(made, dict) else made:
                 yield pa.RecordBatch.from_arrays([as_arrow(columns[f.name], f.type) for f in target], schema=target)
+            del batch, made
+            give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -175,9 +185,9 @@ def may_be_in(ids: DataFrame):
     held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     shipped = ids.sparkSession.sparkContext.broadcast(held)
 
-    @F.pandas_udf("boolean")
-    def passes(places: pd.Series) -> pd.Series:
-        at = places.fillna(0).to_numpy(np.int64)
-        return pd.Series((shipped.value[at >> 6] >> (at & 63)) & 1 == 1)
+    @F.arrow_udf("boolean")
+    def passes(places: pa.Array) -> pa.Array:
+        at = places.fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.array((shipped.value[at >> 6] >> (at & 63)) & 1 == 1)
 
     return lambda *by: passes(F.pmod(F.xxhash64(*by), F.lit(FILTER_BITS)))

@@ -24,11 +24,11 @@ from .common import GOLD, mixed, stage, steps, table, utf8, word_spans
 WEIGHTS, EPOCHS, BUCKET, SEED = (5.0, 2.0, 1.0), 3.0, 2048, 20
 
 
-@F.pandas_udf(LongType())
-def word_count(text: pd.Series) -> pd.Series:
-    data, offsets = utf8(pa.Array.from_pandas(text, type=pa.large_string()))
+@F.arrow_udf(LongType())
+def word_count(text: pa.Array) -> pa.Array:
+    data, offsets = utf8(text)
     counts = [np.diff(np.searchsorted(word_spans(data, p)[0], p - p[0])) for p in (offsets[a : b + 1] for a, b in steps(offsets))]
-    return pd.Series(np.concatenate([*counts, np.zeros(0, np.int64)]))
+    return pa.array(np.concatenate([*counts, np.zeros(0, np.int64)]))
 
 
 @F.pandas_udf(LongType())

@@ -16,11 +16,11 @@ Null text is empty; empty texts get the votes of an empty text. Rows without an
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GOLD, hashes_of, map_batches, mixed, span_hashes, steps, table, utf8, word_spans, words_of
+from .common import GOLD, give_back, hashes_of, map_batches, mixed, span_hashes, steps, table, utf8, word_spans, words_of
 
 SAMPLE, BUCKETS, KEEP, ROUNDS, EPOCHS, PRIOR_GOOD, WRONG, TRUST, RATE = 8192, 1 << 16, 0.5, 100, 300, 0.85, 0.002, 0.99, 0.3
 
@@ -185,21 +185,21 @@ def classify(docs: DataFrame, given: DataFrame | None = None) -> DataFrame:
     """`docs` with __votes, __posterior, __score and __keep."""
     weight, posterior, _ = fit(docs.select("doc_id", "text"), given)
 
-    @F.pandas_udf("votes string, posterior double, score double")
-    def judge(text: pd.Series) -> pd.DataFrame:
-        import pyarrow as pa
-
-        data, offsets = utf8(pa.Array.from_pandas(text, type=pa.large_string()))
-        out = []
+    @F.arrow_udf("votes string, posterior double, score double")
+    def judge(text: pa.Array) -> pa.Array:
+        data, offsets = utf8(text)
+        named, chances, scores = [], [], []
         for low, high in steps(offsets):
             v, *rest = votes(data, offsets, low, high)
             features = _features(v, *rest)
             row = np.repeat(np.arange(len(v)), [len(f) for f in features])
             z = np.bincount(row, _values(features, v.shape[1]) * weight[np.concatenate(features)], len(v)) + weight[-1]
-            score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            named = ["".join(map(str, r)) for r in v]
-            out.append(pd.DataFrame({"votes": named, "posterior": [posterior[p] for p in _pattern(v).tolist()], "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"votes": [], "posterior": [], "score": []})
+            scores.extend(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+            named.extend("".join(map(str, r)) for r in v)
+            chances.extend(posterior[p] for p in _pattern(v).tolist())
+        made = [pa.array(named, pa.string()), pa.array(chances, pa.float64()), pa.array(scores, pa.float64())]
+        give_back()
+        return pa.StructArray.from_arrays(made, names=["votes", "posterior", "score"])
 
     judged = docs.withColumn("__judged", judge("text"))
     parts = {f"__{c}": F.col(f"__judged.{c}") for c in ("votes", "posterior", "score")}

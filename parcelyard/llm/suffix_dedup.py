@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import GOLD, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
 
 LENGTH, GRAM = 400, 64
-SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS = 1 << 20, 1000, 500_000
+SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 20, 1000, 500_000, 1 << 18
 _BYTES = seeded(5, 256)
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -68,10 +68,10 @@ def _minima(keys: np.ndarray, width: int) -> np.ndarray:
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
     """Segments of the rows at `offsets`: row, place in it, number of windows, anchor and fingerprint."""
     parts = []
-    for low in range(int(offsets[0]), int(offsets[-1]) - length + 1, 1 << 20):
-        text = data[low : min(low + (1 << 20) + length - 1, int(offsets[-1]))]
+    for low in range(int(offsets[0]), int(offsets[-1]) - length + 1, BLOCK_BYTES):
+        text = data[low : min(low + BLOCK_BYTES + length - 1, int(offsets[-1]))]
         grams, whole = window_hashes(text, length)
-        n = min(len(whole), 1 << 20)
+        n = min(len(whole), BLOCK_BYTES)
         places = np.arange(len(grams), dtype=np.uint64)
         at = (_LOW - (_minima((grams & ~_LOW) | (_LOW - places), length - GRAM + 1)[:n] & _LOW)).astype(np.int64)
         first = int(np.searchsorted(offsets, low, side="right")) - 1
