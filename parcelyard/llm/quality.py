@@ -125,18 +125,34 @@ def _values(features: list[np.ndarray], votes_: int) -> np.ndarray:
     return np.concatenate([np.concatenate([np.ones(votes_), np.full(len(f) - votes_, (len(f) - votes_) ** -0.5 if len(f) > votes_ else 0.0)]) for f in features])
 
 
-def train(features: list[np.ndarray], good: np.ndarray, votes_: int, epochs: int = EPOCHS) -> np.ndarray:
-    """Logistic regression on soft labels by full-batch gradient steps with momentum and decay; the last weight is the bias."""
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    column, value = np.concatenate(features), _values(features, votes_)
+def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int, epochs: int = EPOCHS) -> np.ndarray:
+    """Logistic regression on soft labels by full-batch gradient steps with momentum and decay; the last weight is the bias.
+
+    Row k has the features `columns[bounds[k]:bounds[k + 1]]`, its votes first. Steps add up over blocks of rows, so that
+    only the features themselves are held for all of them.
+    """
     weight = np.zeros(3 * votes_ + BUCKETS + 1)
     speed = np.zeros_like(weight)
+    blocks = []
+    for low in range(0, len(good), 512):
+        starts, sizes = bounds[low : low + 513][:-1], np.diff(bounds[low : low + 513]) - votes_
+        voted = columns[starts[:, None] + np.arange(votes_)]
+        own = columns[bounds[low] : bounds[min(low + 512, len(good))]]
+        own = own[(np.arange(len(own)) - np.repeat(starts - bounds[low], sizes + votes_)) >= votes_]
+        some = np.flatnonzero(sizes)
+        first = (np.cumsum(sizes) - sizes)[some]
+        blocks.append((good[low : low + 512], voted, own, some, first, sizes[some], sizes[some] ** -0.5))
     for _ in range(epochs):
-        z = np.bincount(row, value * weight[column], len(features)) + weight[-1]
-        off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - good
-        slope = np.bincount(column, value * off[row], len(weight)) / len(features)
-        slope[-1] = off.mean()
-        speed = 0.9 * speed - RATE * (slope + 1e-6 * weight)
+        slope = np.zeros_like(weight)
+        for target, voted, own, some, first, sizes, scale in blocks:
+            z = weight[voted].sum(axis=1) + weight[-1]
+            if len(own):
+                z[some] += scale * np.add.reduceat(weight[own], first)
+            off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
+            slope += np.bincount(voted.ravel(), np.repeat(off, votes_), len(weight))
+            slope += np.bincount(own, np.repeat(off[some] * scale, sizes), len(weight))
+            slope[-1] += off.sum()
+        speed = 0.9 * speed - RATE * (slope / len(good) + 1e-6 * weight)
         weight += speed
     return weight
 
@@ -170,15 +186,18 @@ def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, di
         docs = docs.join(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "doc_id")
     order = F.xxhash64(F.coalesce("text", F.lit("")))
     sample = docs.select("text", "given", order.alias("h"), "doc_id").orderBy("h", "doc_id").limit(SAMPLE).select("text", "given")
-    rows = map_batches(sample, cut, "pattern long, features array<int>, given boolean").toPandas()
+    rows = map_batches(sample, cut, "pattern long, features array<int>, given boolean").toArrow()
     if not len(rows):
         return np.zeros(3 * len(LABELLERS) + BUCKETS + 1), posterior, chance
-    odds = rows["pattern"].map(posterior).to_numpy(float).clip(1e-9, 1 - 1e-9)
-    odds = odds / (1 - odds) * rows["given"].map({True: TRUST / (1 - TRUST), False: (1 - TRUST) / TRUST}).fillna(1.0).to_numpy(float)
+    odds = np.array([posterior[p] for p in rows["pattern"].to_pylist()]).clip(1e-9, 1 - 1e-9)
+    labelled = rows["given"].to_pylist()
+    odds = odds / (1 - odds) * np.array([{True: TRUST / (1 - TRUST), False: (1 - TRUST) / TRUST}.get(x, 1.0) for x in labelled])
     labels = odds / (1 + odds)
-    if given is not None:  # a document that a label calls bad is bad, however well it looks
-        labels = np.where(rows["given"].astype(bool), labels, np.minimum(labels, 1 - TRUST))
-    return train(list(rows["features"]), labels, len(LABELLERS)), posterior, chance
+    bad = np.array([x is False for x in labelled])  # a document that a label calls bad is bad, however well it looks
+    labels = np.where(bad, np.minimum(labels, 1 - TRUST), labels)
+    lists = rows["features"].combine_chunks()
+    bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return train(lists.flatten().to_numpy(zero_copy_only=False), bounds, labels, len(LABELLERS)), posterior, chance
 
 
 def classify(docs: DataFrame, given: DataFrame | None = None) -> DataFrame:
