@@ -1,7 +1,7 @@
 """License detection by ordered signature rules, as DataFrame functions only.
 
 Texts are lower-cased (A-Z) and cut into words; rules are regular expressions over the words joined by single spaces.
-A text that holds none of `GATES` is not looked at; a rule is tried where its own keyword occurs. Every match is a detection
+A rule is tried where its own keyword occurs, which each of its matches contains; there is no other filter. Every match is a detection
 (label, priority, first and last word). A detection goes if another one of higher priority contains its words, or a
 longer one of the same priority; earlier rules have higher priority. What stays gives the labels.
 
@@ -19,30 +19,24 @@ from .common import table
 #: (phrase, label) whose places are counted.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: A text with a license holds one of these, words being between spaces.
-GATES = (
-    " licen", " sublicen", " unlicen", " copyright", " copyleft", " public domain", " all rights reserved", " warranty ",
-    " permission is ", " redistribution ", " gpl", " lgpl", " agpl", " gfdl", " mpl ", " epl ", " eupl ", " cc by", " cc0 ", " spdx ",
-)
-
-# Versioned licenses: label, keyword, name, versions. Each version gives rules for "or later", "only" and plain mention.
+# Versioned licenses: label, keyword, name, versions. A version may follow the name without a space. Each version gives rules for "or later", "only" and plain mention.
 _VERSIONED = (
     ("agpl", " affero ", r"(?:gnu )?affero general public license", ("1 0", "3 0")),
     ("agpl", " agpl", r"(?:gnu )?agpl", ("1 0", "3 0")),
     ("lgpl", " lesser ", r"(?:gnu )?lesser general public license", ("2 1", "3 0")),
     ("lgpl", " library ", r"(?:gnu )?library general public license", ("2 0",)),
     ("lgpl", " lgpl", r"(?:gnu )?lgpl", ("2 0", "2 1", "3 0")),
-    ("gpl", " general public license ", r"(?:gnu )?general public license", ("1 0", "2 0", "3 0")),
+    ("gpl", " general public license", r"(?:gnu )?general public license", ("1 0", "2 0", "3 0")),
     ("gpl", " gpl", r"(?:gnu )?gpl", ("1 0", "2 0", "3 0")),
     ("gfdl", " free documentation ", r"(?:gnu )?free documentation license", ("1 1", "1 2", "1 3")),
     ("gfdl", " gfdl", r"(?:gnu )?gfdl", ("1 1", "1 2", "1 3")),
     ("apache", " apache ", r"apache (?:software )?license", ("1 0", "1 1", "2 0")),
     ("mpl", " mozilla ", r"mozilla public license", ("1 0", "1 1", "2 0")),
-    ("mpl", " mpl ", r"mpl", ("1 0", "1 1", "2 0")),
+    ("mpl", " mpl", r"mpl", ("1 0", "1 1", "2 0")),
     ("epl", " eclipse ", r"eclipse public license", ("1 0", "2 0")),
-    ("epl", " epl ", r"epl", ("1 0", "2 0")),
+    ("epl", " epl", r"epl", ("1 0", "2 0")),
     ("eupl", " european union ", r"european union public licen[cs]e", ("1 0", "1 1", "1 2")),
-    ("eupl", " eupl ", r"eupl", ("1 0", "1 1", "1 2")),
+    ("eupl", " eupl", r"eupl", ("1 0", "1 1", "1 2")),
     ("cddl", " common development ", r"common development and distribution license", ("1 0", "1 1")),
     ("cpl", " common public ", r"common public license", ("1 0",)),
     ("osl", " open software ", r"open software license", ("1 0", "2 0", "2 1", "3 0")),
@@ -54,12 +48,12 @@ _VERSIONED = (
     ("ofl", " sil open ", r"sil open font license", ("1 0", "1 1")),
     ("odbl", " open database ", r"open database license", ("1 0",)),
     ("psf", " python software ", r"python software foundation license", ("2 0",)),
-    ("php", " php license ", r"php license", ("3 0", "3 01")),
+    ("php", " php license", r"php license", ("3 0", "3 01")),
     ("zpl", " zope ", r"zope public license", ("1 1", "2 0", "2 1")),
     ("ecl", " educational community ", r"educational community license", ("1 0", "2 0")),
     ("lppl", " latex project ", r"latex project public license", ("1 0", "1 1", "1 2", "1 3")),
-    ("cecill", " cecill ", r"cecill(?: free software licen[cs]e)?", ("1 0", "1 1", "2 0", "2 1")),
-    ("openrail", " openrail ", r"openrail(?: m)?(?: license)?", ("1 0",)),
+    ("cecill", " cecill", r"cecill(?: free software licen[cs]e)?", ("1 0", "1 1", "2 0", "2 1")),
+    ("openrail", " openrail", r"openrail(?: m)?(?: license)?", ("1 0",)),
 )
 
 # Creative Commons: kinds and versions.
@@ -83,8 +77,8 @@ _TEXTS = (
     ("mpl-2.0", " mozilla ", r"this source code form is subject to the terms of the mozilla public license v 2 0", 1.0),
     ("cc0-1.0", " cc0 ", r"cc0(?: 1 0)?(?: universal)?", 0.9),
     ("cc0-1.0", " public domain dedication ", r"creative commons (?:cc0 )?public domain dedication", 0.9),
-    ("bsd-3-clause", " 3 clause ", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: license)?", 0.9),
-    ("bsd-2-clause", " 2 clause ", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?", 0.9),
+    ("bsd-3-clause", " bsd ", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: license)?", 0.9),
+    ("bsd-2-clause", " bsd ", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?", 0.9),
     ("bsd", " bsd ", r"bsd(?: style)? license", 0.7),
     ("mit", " mit ", r"(?:the )?mit(?: x11)? license", 0.9),
     ("mit", " expat ", r"expat license", 0.8),
@@ -151,7 +145,10 @@ def _base(words: Column, n_words: Column) -> dict[str, Column]:
 
 def _detections(words: Column) -> Column:
     """All matches of all rules whose keyword occurs, as (label, priority, score, low, high) with places in words."""
-    listed = F.array(*[F.struct(F.lit(a).alias("label"), F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(e).alias("said"), F.lit(s).alias("score")) for a, p, k, e, s in rules()])
+    by_keyword: dict[str, list[Column]] = {}
+    for a, p, k, e, s in rules():
+        by_keyword.setdefault(k, []).append(F.struct(F.lit(a).alias("label"), F.lit(p).alias("priority"), F.lit(e).alias("said"), F.lit(s).alias("score")))
+    listed = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*own).alias("rules")) for k, own in by_keyword.items()])
 
     def places(rule: Column) -> Column:
         between = F.transform(F.split(words, rule["said"], -1), _spaces)
@@ -166,7 +163,8 @@ def _detections(words: Column) -> Column:
 
         return F.transform(matched, detection)
 
-    tried = F.filter(listed, lambda r: F.contains(words, r["keyword"]))
+    # the keyword is looked for once for all of its rules
+    tried = F.flatten(F.transform(F.filter(listed, lambda g: F.contains(words, g["keyword"])), lambda g: g["rules"]))
     return F.flatten(F.transform(tried, places))
 
 
@@ -188,14 +186,9 @@ def scan(docs: DataFrame) -> DataFrame:
     joined = F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat(F.lit(" "), F.trim(joined), F.lit(" ")).alias("words"))
     rows = rows.withColumn("n_words", F.when(F.col("words") == "  ", 0).otherwise(_spaces(F.col("words")) - 1).cast("long"))
-    gate = F.lit(False)
-    for word in GATES:
-        gate = gate | F.contains("words", F.lit(word))
-    empty = F.lit(None).cast("array<struct<label:string,priority:int,score:double,low:int,high:int>>")
-    rows = rows.withColumn("words", F.when(gate, F.col("words")))
     rows = rows.select("doc_id", "n_words", "words", *[c.alias(n) for n, c in _base(F.col("words"), F.col("n_words")).items()])
-    rows = rows.withColumn("found", F.when(F.col("words").isNotNull(), _detections(F.col("words"))).otherwise(empty))
-    rows = rows.withColumn("found", F.coalesce(_standing(F.col("found")), F.array()))
+    rows = rows.withColumn("found", _detections(F.col("words")))
+    rows = rows.withColumn("found", _standing(F.col("found")))
     every = F.concat("base", F.transform("found", lambda x: x["label"]))
     strongest = F.aggregate("found", F.lit(0.0), lambda a, x: F.greatest(a, x["score"]))
     return rows.select(
