@@ -1,7 +1,9 @@
 """Each operator on rows that an earlier version left out."""
 
+import random
 import re
 
+import corpus_pipeline
 from parcelyard.llm import license_scan
 
 
@@ -20,3 +22,19 @@ def test_license_scan_against_the_rules_without_keywords(spark):
         stay |= {label for phrase, label in license_scan.BASE if f" {phrase} " in line}
         assert got[k] == ",".join(sorted(stay)), t
         assert bool(stay) == (k < 17), t
+
+
+def test_a_repeated_row_keeps_its_text_once(spark):
+    pick = random.Random(3)
+    texts = [" ".join("".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(120)) for _ in range(5)]
+    near = texts[0].replace(" ", " x ", 1)
+    rows = [(5, texts[0]), (5, texts[0]), (9, near), (None, texts[1]), (7, texts[1]), (None, texts[2]), (None, texts[2]), (8, texts[3]), (8, texts[4])]
+    kept = spark.createDataFrame([(k, t, len(t)) for k, t in rows], "doc_id long, text string, n_chars int")
+    for _, step in corpus_pipeline.STAGES[1:3]:
+        kept = step(spark, kept, None)
+    assert kept.columns == ["doc_id", "text", "n_chars"]
+    got = [tuple(r) for r in kept.collect()]
+    assert all((n or 0) == len(t or "") for _, t, n in got)
+    want = [(5, texts[0]), (7, texts[1]), (8, texts[3]), (8, texts[4]), (None, texts[2])]
+    assert sorted(((k, t) for k, t, _ in got if t), key=str) == sorted(want, key=str)
+    assert sum(k is None for k, _, _ in got) == 3
