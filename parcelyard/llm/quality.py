@@ -4,11 +4,13 @@ Heuristic labellers vote good (1), bad (2) or nothing (0) on every document; the
 of votes occurs in the corpus is counted; expectation-maximisation over the patterns estimates how each labeller
 votes on good and on bad documents, and the probability that a pattern's documents are good. A labeller that votes bad is
 held to be wrong on `WRONG` of the good documents at most. The posterior labels a sample of `SAMPLE` documents (those with
-the smallest hashes) for a linear scorer over hashed votes, words and word beginnings, which then scores every document.
+the smallest hashes) for a linear scorer over hashed votes, words and word beginnings of several lengths in characters,
+which count as often as they occur, and which then scores every document.
 Documents of `KEEP` or more stay.
 
 Given labels (doc_id, quality, toxic) are one more labeller, right with probability `TRUST`, and then the sample is one of
 `SAMPLE` labelled documents: only quality 1 without toxic 1 counts as good there. Rows with a null in them don't vote.
+Of each language's toxic, otherwise bad and good labels about `LEAST` or all are in it, however rare they are.
 
 Null text is empty; empty texts get the votes of an empty text. Rows without an id are scored like others.
 """
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import GOLD, give_back, hashes_of, map_batches, mixed, span_hashes, steps, table, utf8, word_spans, words_of
 
-SAMPLE, BUCKETS, KEEP, ROUNDS, EPOCHS, PRIOR_GOOD, WRONG, TRUST, RATE = 8192, 1 << 16, 0.5, 100, 300, 0.85, 0.002, 0.99, 0.3
+SAMPLE, LEAST, BUCKETS, KEEP, ROUNDS, EPOCHS, PRIOR_GOOD, WRONG, TRUST, RATE = 8192, 512, 1 << 18, 0.5, 100, 300, 0.85, 0.002, 0.99, 0.3
+#: Characters of word beginnings, and the length that a row's words share (votes have 1 each).
+BEGINS, LENGTH = (3, 5, 7), 4.0
 
 # Common words of the corpus's four languages, and insults.
 STOP_WORDS = """
@@ -51,7 +55,7 @@ def _within(sorted_words: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def votes(data: np.ndarray, offsets: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Votes (rows by labellers), hashes of words and of their beginnings, and the number of words before each row."""
+    """Votes (rows by labellers), hashes of words and (lengths by words) of their beginnings, and the number of words before each row."""
     part, rows = offsets[low : high + 1], high - low
     text, at = data[part[0] : part[-1]], part - part[0]
 
@@ -60,7 +64,9 @@ def votes(data: np.ndarray, offsets: np.ndarray, low: int, high: int) -> tuple[n
 
     starts, ends = word_spans(data, part, ~_ALNUM)
     words, first = span_hashes(data, int(part[0]), starts, ends), np.searchsorted(starts, at)
-    begins = span_hashes(data, int(part[0]), starts, np.minimum(ends, starts + 4))
+    characters = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))
+    nth = np.searchsorted(characters, starts)
+    begins = np.stack([span_hashes(data, int(part[0]), starts, np.minimum(ends, characters[np.minimum(nth + n, len(characters) - 1)])) for n in BEGINS])
     n_bytes, n_words = np.diff(part).astype(float), np.diff(first).astype(float)
     some, many = np.maximum(n_bytes, 1), np.maximum(n_words, 1)
     letters = per_row(_ALNUM[text])
@@ -114,15 +120,15 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
 
 
 def _features(v: np.ndarray, words: np.ndarray, begins: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Hashed features of each row: one for each vote, then its distinct words and word beginnings."""
+    """Hashed features of each row: one for each vote, then its words and word beginnings, as often as they occur."""
     fixed = np.arange(v.shape[1]) * 3 + v
-    hashed = [3 * v.shape[1] + (x % np.uint64(BUCKETS)).astype(np.int64) for x in (words, mixed(begins ^ GOLD))]
-    return [np.concatenate([f, *(np.unique(h[a:b]) for h in hashed)]) for f, a, b in zip(fixed, first[:-1], first[1:], strict=True)]
+    hashed = [3 * v.shape[1] + (x % np.uint64(BUCKETS)).astype(np.int64) for x in (words, *mixed(begins ^ GOLD))]
+    return [np.concatenate([f, *(h[a:b] for h in hashed)]) for f, a, b in zip(fixed, first[:-1], first[1:], strict=True)]
 
 
 def _values(features: list[np.ndarray], votes_: int) -> np.ndarray:
-    """Weights of features: 1 for votes, and words share a length of 1."""
-    return np.concatenate([np.concatenate([np.ones(votes_), np.full(len(f) - votes_, (len(f) - votes_) ** -0.5 if len(f) > votes_ else 0.0)]) for f in features])
+    """Weights of features: 1 for votes, and words share a length of `LENGTH`."""
+    return np.concatenate([np.concatenate([np.ones(votes_), np.full(len(f) - votes_, LENGTH * (len(f) - votes_) ** -0.5 if len(f) > votes_ else 0.0)]) for f in features])
 
 
 def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int, epochs: int = EPOCHS) -> np.ndarray:
@@ -141,7 +147,7 @@ def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int
         own = own[(np.arange(len(own)) - np.repeat(starts - bounds[low], sizes + votes_)) >= votes_]
         some = np.flatnonzero(sizes)
         first = (np.cumsum(sizes) - sizes)[some]
-        blocks.append((good[low : low + 512], voted, own, some, first, sizes[some], sizes[some] ** -0.5))
+        blocks.append((good[low : low + 512], voted, own, some, first, sizes[some], LENGTH * sizes[some] ** -0.5))
     for _ in range(epochs):
         slope = np.zeros_like(weight)
         for target, voted, own, some, first, sizes, scale in blocks:
@@ -157,6 +163,22 @@ def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int
     return weight
 
 
+def _drawn(given: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and given of `SAMPLE` labels (doc_id, given, toxic); kinds (language, given, toxic) too rare to have `LEAST` rows weigh more."""
+    if "lang" in docs.columns:
+        given = given.join(docs.groupBy("doc_id").agg(F.min("lang").alias("lang")), "doc_id")
+    else:
+        given = given.join(docs.select("doc_id").distinct(), "doc_id").withColumn("lang", F.lit(None).cast("string"))
+    kind = ["lang", "given", "toxic"]
+    kinds = given.groupBy(*kind).agg(F.count("*").alias("n"))
+    rows = kinds.agg(F.sum("n")).first()[0] or 0
+    weight = F.greatest(F.lit(1.0), F.lit(LEAST * rows / SAMPLE) / F.col("n"))
+    weights = kinds.select(*[F.col(c).alias(f"__{c}") for c in kind], weight.alias("__weight"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in kind]
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / F.col("__weight")
+    return given.join(weights, same).orderBy(place, "doc_id").limit(SAMPLE).select("doc_id", "given")
+
+
 def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, dict[int, float], np.ndarray]:
     """Weights of the scorer, the posterior by vote pattern, and P(vote | labeller, class), from rows (doc_id, text)."""
 
@@ -182,8 +204,8 @@ def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, di
         docs = docs.withColumn("given", F.lit(None).cast("boolean"))
     else:
         good_label = (F.min("quality") == 1) & (F.max("toxic") == 0)
-        given = given.groupBy("doc_id").agg(good_label.alias("given")).where("given IS NOT NULL")
-        docs = docs.join(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "doc_id")
+        given = given.groupBy("doc_id").agg(good_label.alias("given"), F.max("toxic").alias("toxic")).where("given IS NOT NULL")
+        docs = docs.join(_drawn(given, docs), "doc_id")
     order = F.xxhash64(F.coalesce("text", F.lit("")))
     sample = docs.select("text", "given", order.alias("h"), "doc_id").orderBy("h", "doc_id").limit(SAMPLE).select("text", "given")
     rows = map_batches(sample, cut, "pattern long, features array<int>, given boolean").toArrow()
@@ -202,7 +224,7 @@ def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, di
 
 def classify(docs: DataFrame, given: DataFrame | None = None) -> DataFrame:
     """`docs` with __votes, __posterior, __score and __keep."""
-    weight, posterior, _ = fit(docs.select("doc_id", "text"), given)
+    weight, posterior, _ = fit(docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns]), given)
 
     @F.arrow_udf("votes string, posterior double, score double")
     def judge(text: pa.Array) -> pa.Array:
@@ -230,5 +252,5 @@ def good_documents(docs: DataFrame, given: DataFrame | None = None) -> DataFrame
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    judged = classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", F.col("__score").alias("score"), F.col("__keep").alias("keep"), F.col("__posterior").alias("posterior"), F.col("__votes").alias("votes"))

@@ -4,7 +4,7 @@ import random
 import re
 
 import corpus_pipeline
-from parcelyard.llm import license_scan
+from parcelyard.llm import license_scan, quality
 
 
 def test_license_scan_against_the_rules_without_keywords(spark):
@@ -38,3 +38,22 @@ def test_a_repeated_row_keeps_its_text_once(spark):
     want = [(5, texts[0]), (7, texts[1]), (8, texts[3]), (8, texts[4]), (None, texts[2])]
     assert sorted(((k, t) for k, t, _ in got if t), key=str) == sorted(want, key=str)
     assert sum(k is None for k, _, _ in got) == 3
+
+
+def test_quality_learns_toxic_words_of_any_language(spark, monkeypatch):
+    pick = random.Random(7)
+    ends = [a + b + c for a in "éaiou" for b in "nrtls" for c in ("e", "ait", "oir", "é")]
+
+    def text(toxic):
+        made = [pick.choice(["le", "de", "la", "pour", "dans"]) if pick.random() < 0.4 else pick.choice("bcdfg") + "é" + pick.choice(ends) + pick.choice(ends) for _ in range(200)]
+        return " ".join([*made, *(("bénax" if toxic else "bénol") + pick.choice(ends) + pick.choice(ends) for _ in range(6))])
+
+    toxic = [k % 20 == 0 for k in range(1200)]
+    rows = spark.createDataFrame([(k, text(t), "fr") for k, t in enumerate(toxic)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, int(t)) for k, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["__keep"] for r in quality.classify(rows, labels).collect()}
+    assert sum(kept[k] for k, t in enumerate(toxic) if t) <= 6 and sum(not kept[k] for k, t in enumerate(toxic) if not t) <= 6
+    monkeypatch.setattr(quality, "SAMPLE", 240)
+    monkeypatch.setattr(quality, "LEAST", 48)
+    drawn = quality._drawn(labels.select("doc_id", (labels["toxic"] == 0).alias("given"), "toxic"), rows).collect()
+    assert len(drawn) == 240 and 30 <= sum(not r["given"] for r in drawn) <= 60
