@@ -4,7 +4,7 @@ Vectors are integers, floor(`SCALE` * x). An added last component makes all data
 there), so the largest inner products are the nearest points.
 
 * Queries and data are grouped by the nearest of `PIVOTS` pivots, data vectors with the smallest hashes.
-* From each data cell's `k` + 1 smallest distances to its pivot, and from the largest distance in a query cell, the triangle
+* From the distances to its pivot of each data cell's `k` + 1 nearest ids (a query's own id takes no part, however often it occurs), and from the largest distance in a query cell, the triangle
   inequality bounds the k-th distance of all queries of that cell from above.
 * A data vector goes only to query cells where its own lower bound is within that distance. Query cells are put
   together to chunks of about `CHUNK` queries (a larger cell is cut), data to blocks of about `BLOCK`, so a task is a
@@ -70,16 +70,17 @@ def _placed(rows: DataFrame, pivots: np.ndarray, longest: float, query: bool) ->
 
 
 def _nearest_of_cells(placed: DataFrame, k: int) -> pd.DataFrame:
-    """The `k` smallest distances of each cell, first within each task: `PIVOTS` * `k` rows come back."""
+    """The `k` nearest ids of each cell and their distances, first within each task: `PIVOTS` * `k` rows come back."""
 
     def step(batch):
-        rows = pd.DataFrame({c: batch.column(c).to_numpy() for c in ("cell", "far")})
-        best = rows.sort_values("far").groupby("cell").head(k)
-        return {"cell": best["cell"].to_numpy(), "far": best["far"].to_numpy()}
+        rows = pd.DataFrame({c: batch.column(c).to_numpy() for c in ("cell", "vec_id", "far")})
+        best = rows.sort_values("far").drop_duplicates(["cell", "vec_id"]).groupby("cell").head(k)
+        return {c: best[c].to_numpy() for c in ("cell", "vec_id", "far")}
 
-    few = map_batches(placed.select("cell", "far"), step, "cell int, far double")
-    order = Window.partitionBy("cell").orderBy("far")
-    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("cell", "far").toPandas()
+    few = map_batches(placed.select("cell", "vec_id", "far"), step, "cell int, vec_id long, far double")
+    few = few.groupBy("cell", "vec_id").agg(F.min("far").alias("far"))
+    order = Window.partitionBy("cell").orderBy("far", "vec_id")
+    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("cell", "vec_id", "far").toPandas()
 
 
 def _block_best(k: int):
@@ -126,7 +127,8 @@ def top_inner_products(queries: DataFrame, data: DataFrame, k: int = K, scale: i
     groups = queries.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).toPandas().sort_values("cell")
     reach, chunk, chunks, filled = {}, {}, 0, CHUNK
     for cell, far, n in zip(groups["cell"], groups["far"], groups["n"], strict=True):
-        upper = np.sort(far + between[cell, near["cell"]] + near["far"].to_numpy())
+        upper = far + between[cell, near["cell"]] + near["far"].to_numpy()
+        upper = np.sort(pd.Series(upper).groupby(near["vec_id"].to_numpy()).min().to_numpy())
         # rounding of the distances must not cost a neighbour
         reach[cell] = (far, upper[k] * (1 + 1e-6) + 1e-3 if len(upper) > k else np.inf)
         if filled + n > CHUNK:

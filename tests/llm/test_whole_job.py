@@ -4,7 +4,7 @@ import random
 import re
 
 import corpus_pipeline
-from parcelyard.llm import license_scan, quality
+from parcelyard.llm import license_scan, quality, voronoi_knn
 
 
 def test_license_scan_against_the_rules_without_keywords(spark):
@@ -57,3 +57,13 @@ def test_quality_learns_toxic_words_of_any_language(spark, monkeypatch):
     monkeypatch.setattr(quality, "LEAST", 48)
     drawn = quality._drawn(labels.select("doc_id", (labels["toxic"] == 0).alias("given"), "toxic"), rows).collect()
     assert len(drawn) == 240 and 30 <= sum(not r["given"] for r in drawn) <= 60
+
+
+def test_voronoi_knn_with_a_queried_id_that_is_repeated(spark):
+    pick = random.Random(11)
+    rows = [(20, [5.0, 5.0, 5.0 + k / 64]) for k in range(6)] + [(k, [pick.uniform(-2, 2) for _ in range(3)]) for k in range(101, 140)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = voronoi_knn.top_inner_products(data.where("vec_id = 20").limit(1), data, k=3).orderBy("rank").collect()
+    q, *_ = [[int(64 * x // 1) for x in v] for k, v in rows if k == 20]
+    scored = sorted((-sum(a * int(64 * b // 1) for a, b in zip(q, v)), k) for k, v in rows if k != 20)
+    assert [(r["vec_id"], r["score"]) for r in got] == [(k, -s) for s, k in scored[:3]]
