@@ -43,14 +43,6 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.fixture(scope="session")
 def sample():
     """Small raw inputs with one of each edge case."""

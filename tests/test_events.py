@@ -4,7 +4,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.support import rows
 from parcelyard.operators import events as ev, star
 
 KEYS = ["event_id", "order_id", "event_type", "event_timestamp", "produced_at"]

@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.support import rows
 from parcelyard.operators import evaluation, features as feat, star
 
 BASE = (

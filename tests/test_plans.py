@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from tests.support import plan_of, rows
 from parcelyard.operators import dashboard, events as ev, features as feat, reports, star
 from parcelyard.plans.queries import QUERIES
 from parcelyard.workspace import staged

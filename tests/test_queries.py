@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
-from conftest import plan_of
+from tests.support import plan_of
 from oracle import ORACLE_SQL as ORACLE
 from parcelyard.plans.queries import QUERIES
 

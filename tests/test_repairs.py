@@ -1,7 +1,7 @@
 """Cases that went wrong once."""
 
 import pytest
-from conftest import rows
+from tests.support import rows
 
 from parcelyard.functions import messages as msg
 from parcelyard.operators import evaluation, events as ev, features, star

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.support import rows
 from parcelyard.operators import dashboard, quality, reports, star
 
 

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.support import rows
 from parcelyard import schemas
 from parcelyard.operators import star
 from parcelyard.operators.dedup import keep_one

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-from conftest import rows
+from tests.support import rows
 from parcelyard.operators import events as ev
 from parcelyard.sources.kafka import message_files, topic_options
 from parcelyard.streaming import ingest
