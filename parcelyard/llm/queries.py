@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import url_filter, voronoi_knn
+from . import ball_codes, url_filter, voronoi_knn
+from .ball_codes import op11_vector_codes
 from .best_fit import op6_best_fit
 from .class_lm import op2_class_lm
 from .license_scan import op4_license_scan
@@ -29,7 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_ngram_join,
         op10_projection_forest,
+        op11_vector_codes,
     )
 }
 
-ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL
