@@ -4,10 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ball_codes, url_filter, voronoi_knn
+from . import ball_codes, kd_shards, url_filter, voronoi_knn
 from .ball_codes import op11_vector_codes
 from .best_fit import op6_best_fit
 from .class_lm import op2_class_lm
+from .kd_shards import op12_kd_shards
 from .license_scan import op4_license_scan
 from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
@@ -31,7 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_ngram_join,
         op10_projection_forest,
         op11_vector_codes,
+        op12_kd_shards,
     )
 }
 
-ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL | kd_shards.ORACLE_SQL
