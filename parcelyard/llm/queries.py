@@ -4,11 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ball_codes, kd_shards, url_filter, voronoi_knn
+from . import ball_codes, kd_shards, level_products, url_filter, voronoi_knn
 from .ball_codes import op11_vector_codes
 from .best_fit import op6_best_fit
 from .class_lm import op2_class_lm
 from .kd_shards import op12_kd_shards
+from .level_products import op13_level_products
 from .license_scan import op4_license_scan
 from .mixing import op8_mixing
 from .ngram_join import op9_ngram_join
@@ -33,7 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_projection_forest,
         op11_vector_codes,
         op12_kd_shards,
+        op13_level_products,
     )
 }
 
-ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL | kd_shards.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL | kd_shards.ORACLE_SQL | level_products.ORACLE_SQL
