@@ -105,13 +105,14 @@ def _shares(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
     return share + 1
 
 
-def _distances(counts: np.ndarray, totals: np.ndarray, terms: int, here: int, there: int) -> np.ndarray:
-    """Sums over the block's terms (rows) of share differences between the groups (columns) from `here` on and `there` on.
+def _distances(counts: np.ndarray, totals: np.ndarray, terms: int, absent: int, here: int, there: int) -> np.ndarray:
+    """Share differences, summed over the block's terms (rows), between the `here` first groups (columns) and those from `there` on.
 
-    `here` first columns are the one side and those from `there` on the other.
+    `absent` terms of the block occur in none of the groups.
     """
     groups = counts.shape[1]
-    out = np.zeros((here, groups - there), np.int64)
+    none = np.array([_shares(np.zeros(1, np.int64), int(t), terms)[0] for t in totals]) if absent else np.zeros(groups, np.int64)
+    out = absent * np.abs(none[:here, None] - none[None, there:])
     counts = counts[np.argsort(counts.sum(1), kind="stable")]
     most = np.maximum.accumulate(counts, axis=0)
     at = 0
@@ -160,10 +161,10 @@ def _priced(rows: pa.Table) -> pa.Table:
     alone = sides[0] == sides[-1] and rows.column("low")[0] == rows.column("high")[0]
     here = len(names) if alone else int((sides == sides[0]).sum())
     there = 0 if alone else here
-    terms = int(rows.column("terms").to_numpy()[head][0])
+    terms, held = (int(rows.column(c).to_numpy()[head][0]) for c in ("terms", "held"))
     if not alone and sides[0] == sides[-1]:  # the other block of groups is empty
         return _pairs(rows, names[:0], names[:0], np.zeros((0, 0), np.int64), False)
-    found = _distances(counts, total.to_numpy()[head][order].astype(np.int64), terms, here, there)
+    found = _distances(counts, total.to_numpy()[head][order].astype(np.int64), terms, held - len(counts), here, there)
     return _pairs(rows, names[:here], names[there:], found, alone)
 
 
@@ -185,12 +186,12 @@ def pair_distances(groups: DataFrame, counts: DataFrame, kept: DataFrame) -> Dat
     side = F.pmod(F.xxhash64("source"), "parts").alias("side")
     split = groups.groupBy("lang").agg(parts)
     # a language without terms has one block, of no terms
-    blocks = groups.select("lang").distinct().join(kept.select("lang", "rarity", "slice").distinct(), "lang", "left")
-    block = ["lang", F.coalesce("rarity", F.lit(-1)).alias("rarity"), F.coalesce("slice", F.lit(0)).cast("long").alias("slice")]
-    heads = groups.join(split, "lang").join(blocks.select(*block), "lang")
-    none = F.lit(None)
-    heads = heads.select(*block, "parts", side, "source", none.cast("string").alias("term"), none.cast("long").alias("count"), "total", "terms")
-    entries = counts.join(split, "lang").select(*block, "parts", side, "source", "term", "count", none.cast("long").alias("total"), none.cast("long").alias("terms"))
+    blocks = kept.groupBy("lang", "rarity", "slice").agg(F.count("*").alias("held"))
+    blocks = groups.select("lang").distinct().join(blocks, "lang", "left").na.fill({"rarity": -1, "slice": 0, "held": 0})
+    heads = groups.join(split, "lang").join(blocks, "lang").withColumns({"term": F.lit(None).cast("string"), "count": F.lit(None).cast("long")})
+    entries = counts.join(split, "lang").withColumns({c: F.lit(None).cast("long") for c in ("total", "terms", "held")})
+    columns = ["lang", "rarity", "slice", "parts", side, "source", "term", "count", "total", "terms", "held"]
+    heads, entries = heads.select(*columns), entries.select(*columns)
     rows = heads.unionByName(entries).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}).drop("other", "parts")
     found = rows.groupBy("lang", "rarity", "slice", "low", "high").applyInArrow(_priced, "lang string, source string, item string, value long")
