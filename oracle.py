@@ -360,4 +360,19 @@ ORACLE_SQL: dict[str, str] = {
               FROM (SELECT delay_probability, CAST(sum(is_delayed) AS DOUBLE) AS pos,
                            CAST(sum(1 - is_delayed) AS DOUBLE) AS neg
                     FROM predictions GROUP BY delay_probability) AS scores) AS ranked"""),
+    "confusion_counts": _sql("predictions", """
+        SELECT is_delayed AS actual, CAST(predicted_is_delayed AS INTEGER) AS predicted, count(*) AS rows
+        FROM predictions GROUP BY 1, 2"""),
+    "fold_counts": _sql("features", """
+        SELECT CAST((place - 1) % 3 AS INTEGER) AS fold, is_delayed, count(*) AS rows
+        FROM (SELECT is_delayed, row_number() OVER (PARTITION BY is_delayed ORDER BY md5('42:' || order_id), order_id) AS place
+              FROM features WHERE split = 'train') AS ranked
+        GROUP BY 1, 2"""),
+    "known_rule_scores": _sql("features", """
+        SELECT order_id, CAST(month >= 7 AS DOUBLE) AS predicted_is_delayed,
+               round(1 / (1 + exp(CASE WHEN month >= 7 THEN CAST(-2 AS DOUBLE) ELSE CAST(2 AS DOUBLE) END)), 6) AS delay_probability
+        FROM features"""),
+    "held_out_confusion": _sql("features", """
+        SELECT is_delayed AS actual, CAST(month >= 7 AS INTEGER) AS predicted, count(*) AS rows
+        FROM features WHERE split = 'test' GROUP BY 1, 2"""),
 }

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelyard import schemas
 from parcelyard.functions import scores
-from parcelyard.models.scoring import PREDICTION_COLUMNS, score
+from parcelyard.models import search
+from parcelyard.models.scoring import PREDICTION_COLUMNS, load_model, save_model, score
+from parcelyard.models.search import SEED, fold_scores
 from parcelyard.models.training import Grid, train_delay_model
 from parcelyard.operators import dashboard, events, evaluation, features as feat, quality, reports, star
+from parcelyard.operators.ranking import stratified_folds
 from parcelyard.plans.delay_model import train_and_evaluate
 from parcelyard.plans.etl import TABLE_ORDER
 from parcelyard.sinks import warehouse
@@ -24,14 +27,18 @@ PRODUCED_AT = "2024-01-01 00:00:00"
 LOOKED_UP_ORDER = "1234"
 # the reports' own thresholds suit millions of orders; the test tables have far fewer per state
 STATE_THRESHOLD = 500
-# one grid point: the full search is 81 points x 3 folds
-SMALL_GRID = Grid(trees=(20,), learning_rates=(0.1,), depths=(5,), weight_factors=(1.0,))
+FOLDS = 3
+# a label that follows from one feature, and the one tree with one cut that learns it
+RULE_MONTH = 7
+RULE_GRID = Grid(trees=(1,), learning_rates=(0.1,), depths=(1,), weight_factors=(1.0,))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # tables staged by this process: (application, folder, table) -> DataFrame
 _staged: dict[tuple[str, str, str], DataFrame] = {}
+# models trained by this process, by the same key
+_made: dict[tuple[str, str, str], object] = {}
 
 
 def _query(run: Query) -> Query:
@@ -417,13 +424,80 @@ def roc_auc(spark, folder):
     return _rounded(spark.createDataFrame([(area,)], "roc_auc double"), "roc_auc")
 
 
+@_query
+def confusion_counts(spark, folder):
+    return evaluation.confusion_counts(retail.predictions(spark, folder), "predicted_is_delayed")
+
+
+@_query
+def fold_counts(spark, folder):
+    """Rows per fold and class of the exactly stratified folds over all training rows."""
+    folds = stratified_folds(_train_side(spark, folder).select("order_id", feat.LABEL), FOLDS, feat.LABEL, "order_id", SEED)
+    return folds.groupBy("fold", feat.LABEL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@_query
+def grid_scores(spark, folder):
+    """All 81 points of the default grid on three folds, learned from at most `SEARCH_ROWS` training rows."""
+    train = _train_side(spark, folder)
+    ratio = feat.class_ratio(train).first()["ratio"] or 1.0
+    return search.grid_scores(fold_scores(train, feat.exact_medians(train), ratio, Grid(), FOLDS), FOLDS)
+
+
+def _once(spark, folder, name, make):
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
+def _trained(spark, folder):
+    """The model's path and its metrics on the test side: the full grid, then a fit on all training rows."""
+
+    def train():
+        path = new_folder(spark, "model")
+        trained, metrics = train_and_evaluate(training_features(spark, folder))
+        save_model(trained.model, path, trained.signature)
+        return path, metrics
+
+    return _once(spark, folder, "model", train)
+
+
 @_query
 def train_eval(spark, folder):
-    return train_and_evaluate(training_features(spark, folder), SMALL_GRID)[1]
+    return _trained(spark, folder)[1]
 
 
 @_query
 def score_orders(spark, folder):
-    model = train_delay_model(_train_side(spark, folder), SMALL_GRID).model
+    """Undelivered orders, scored with the model that training stored."""
     rows = feat.features(feat.scoring_base(_feature_base(spark, folder)))
-    return score(model, rows).select(*PREDICTION_COLUMNS)
+    return score(load_model(_trained(spark, folder)[0]), rows).select(*PREDICTION_COLUMNS)
+
+
+def _rule_model(spark, folder):
+    """A stored model whose output is known: one tree of one cut, learned from a label that is a cut of one feature.
+    Its leaves hold one class each, so a score is 1 / (1 + e^-2) or 1 / (1 + e^2)."""
+
+    def train():
+        path = new_folder(spark, "rule-model")
+        rule = (F.col("month") >= RULE_MONTH).cast("int")
+        trained = train_delay_model(_train_side(spark, folder).withColumn(feat.LABEL, rule), RULE_GRID)
+        save_model(trained.model, path, trained.signature)
+        return path
+
+    return load_model(_once(spark, folder, "rule-model", train))
+
+
+@_query
+def known_rule_scores(spark, folder):
+    scored = score(_rule_model(spark, folder), training_features(spark, folder))
+    return _rounded(scored.select(*PREDICTION_COLUMNS), "delay_probability")
+
+
+@_query
+def held_out_confusion(spark, folder):
+    """Test orders by known class and the class that the rule's model gives."""
+    split = feat.with_split(training_features(spark, folder))
+    test = split.filter(F.col("split") == "test").drop("split")
+    return evaluation.confusion_counts(score(_rule_model(spark, folder), test), "predicted_is_delayed")

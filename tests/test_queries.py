@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, duck, name):
 def test_every_twin_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert set(QUERIES) <= set(entry_module.queries())
-    assert set(QUERIES) - set(ORACLE) == {"train_eval", "score_orders"}
+    assert set(QUERIES) - set(ORACLE) == {"train_eval", "score_orders", "grid_scores"}
 
 
 def test_entry(spark):
@@ -54,6 +54,13 @@ def test_entry(spark):
     assert 0 < got.count() <= 10
 
 
+def test_grid_scores(spark):
+    points = QUERIES["grid_scores"](spark, FOLDER).collect()
+    assert len({(p["trees"], p["learning_rate"], p["depth"], p["weight_factor"]) for p in points}) == len(points) == 81
+    assert sum(p["chosen"] for p in points) == 1
+    assert all(0.0 <= p[f"auc_fold_{k}"] <= 1.0 for p in points for k in range(3))
+
+
 def test_model_queries(spark):
     metrics = QUERIES["train_eval"](spark, FOLDER).first()
     assert all(0.0 <= metrics[c] <= 1.0 for c in metrics.asDict())
@@ -62,7 +69,7 @@ def test_model_queries(spark):
     assert scored.count() == QUERIES["scoring_base"](spark, FOLDER).count()
 
 
-PLANNED = [n for n in QUERIES if n not in ("train_eval", "score_orders", "stream_ingest", "stream_dedup")]
+PLANNED = [n for n in QUERIES if n not in ("train_eval", "score_orders", "grid_scores", "stream_ingest", "stream_dedup")]
 
 
 @pytest.mark.parametrize("name", PLANNED)
