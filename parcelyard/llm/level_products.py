@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import give_back, pa_schema, stage, table, utf8
 
 LEAST, TOP, UNIT, PRIOR = 30, 50, 1_000_000_000, 5
-TERMS, GROUPS = 4096, 128
+TERMS, GROUPS = 1024, 128
 #: Indicator columns of one product, about; counted terms a task holds before it passes them on; bytes split at once.
 COLUMNS, HELD, STEP = 1024, 300_000, 1 << 20
 
