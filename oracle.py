@@ -313,6 +313,13 @@ ORACLE_SQL: dict[str, str] = {
               UNION ALL SELECT 'dim_date', count(*) FROM dim_date
               UNION ALL SELECT 'fact_delivery', count(*) FROM orders
               UNION ALL SELECT 'fact_delivery_event', count(DISTINCT event_id) FROM accepted) AS loads"""),
+    "fact_by_month": _sql("fact_delivery", """
+        SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_month, count(*) AS orders,
+               CAST(sum(is_delayed) AS BIGINT) AS delayed, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price
+        FROM fact_delivery GROUP BY 1"""),
+    "fact_of_month": _sql("fact_delivery", """
+        SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_month, order_id, delay_days
+        FROM fact_delivery WHERE strftime(order_purchase_timestamp, '%Y-%m') BETWEEN '1995-03' AND '1995-05'"""),
     "training_base": _sql("base", f"SELECT {_BASE_OUT.format(label='is_delayed, ')} FROM base"),
     "scoring_base": _sql("base", f"""
         SELECT {_BASE_OUT.format(label='')} FROM base WHERE order_delivered_customer_date IS NULL"""),

@@ -46,3 +46,18 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def recorded_row_counts(runs: DataFrame) -> DataFrame:
+    """Row count of each layer as its last write observed it (see `sinks.files.write_recorded`); no layer is read."""
+    return runs.groupBy(F.col("layer").alias("table_name")).agg(F.max_by("rows", "finished_at").alias("rows"))
+
+
+def rows_beyond(counts: DataFrame, layer: str, source: str) -> DataFrame:
+    """One row: by how many rows `layer` exceeds the `source` it has one row each of. Above 0 a join fanned out,
+    below 0 rows were lost; NULL if either was never written."""
+
+    def of(name: str):
+        return F.max(F.when(F.col("table_name") == name, F.col("rows")))
+
+    return counts.agg((of(layer) - of(source)).alias("rows_beyond")).select(F.lit(layer).alias("layer"), F.lit(source).alias("source"), "rows_beyond")

@@ -110,12 +110,18 @@ def fact_delivery(orders: DataFrame, items: DataFrame, customers: DataFrame) ->
     `customers` is the deduplicated dimension. Items are brought to order grain before the join, so both
     sides of it are unique; a customer with very many orders is left to adaptive skew-join handling.
     """
+    return fact_of_totals(orders, order_items_agg(items), customers)
+
+
+def fact_of_totals(orders: DataFrame, totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """`fact_delivery` from items that are at order grain already. Orders and totals stored in buckets of order_id
+    (`workspace.staged_by_key`) join without an exchange."""
     purchased = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
     zips = customers.select("customer_id", "customer_zip_code_prefix")
     joined = (
         clean_orders(orders)
-        .join(order_items_agg(items), "order_id", "left")
+        .join(totals, "order_id", "left")
         .join(zips, "customer_id", "left")
     )
     return (

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelyard import schemas
 from parcelyard.operators import events, star
 from parcelyard.sinks import warehouse
-from parcelyard.sinks.files import write_layer
+from parcelyard.sinks.files import record_run, write_layer
 from parcelyard.sources.files import curated_table, event_files, raw_csv
 
 # dimensions first: the facts read them back
@@ -31,9 +31,10 @@ def build_processed(spark: SparkSession, event_path: str, out: str) -> int:
 
 
 def build_curated(
-    spark: SparkSession, raw: dict[str, DataFrame], processed: DataFrame, out: str
+    spark: SparkSession, raw: dict[str, DataFrame], processed: DataFrame, out: str, runs: str | None = None
 ) -> dict[str, int]:
-    """Write each table of the star schema once, in dependency order, and return the row counts."""
+    """Write each table of the star schema once, in dependency order, and return the row counts. With `runs`, the
+    counts are added to that table of runs too."""
     out = out.rstrip("/")
     orders = star.clean_orders(raw["orders"])
     tables = {
@@ -52,6 +53,8 @@ def build_curated(
         df = tables[name]()
         schemas.require_columns(df, schemas.WAREHOUSE[name], name)
         counts[name] = write_layer(df, f"{out}/{name}")
+        if runs:
+            record_run(spark, runs, name, counts[name])
     return counts
 
 

@@ -16,18 +16,22 @@ from parcelyard.operators.ranking import stratified_folds
 from parcelyard.plans.delay_model import train_and_evaluate
 from parcelyard.plans.etl import TABLE_ORDER
 from parcelyard.sinks import warehouse
-from parcelyard.sinks.files import write_event_lines
+from parcelyard.sinks.files import MONTH, fact_months, write_event_lines, write_fact_months, write_recorded
 from parcelyard.sources import retail
 from parcelyard.sources.files import event_files
 from parcelyard.sources.kafka import message_files
 from parcelyard.streaming import ingest
-from parcelyard.workspace import new_folder, staged
+from parcelyard.workspace import new_folder, staged, staged_by_key
 
 PRODUCED_AT = "2024-01-01 00:00:00"
 LOOKED_UP_ORDER = "1234"
 # the reports' own thresholds suit millions of orders; the test tables have far fewer per state
 STATE_THRESHOLD = 500
 FOLDS = 3
+# months of `fact_by_month` and `fact_of_month`
+RELOADED_MONTH, LAST_MONTH = "1995-03", "1995-05"
+# layers whose rows are counted
+COUNTED = ("raw_events", "processed_events", "dim_customer", "dim_seller", "dim_product", "dim_location", "fact_delivery")
 # a label that follows from one feature, and the one tree with one cut that learns it
 RULE_MONTH = 7
 RULE_GRID = Grid(trees=(1,), learning_rates=(0.1,), depths=(1,), weight_factors=(1.0,))
@@ -35,9 +39,7 @@ RULE_GRID = Grid(trees=(1,), learning_rates=(0.1,), depths=(1,), weight_factors=
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# tables staged by this process: (application, folder, table) -> DataFrame
-_staged: dict[tuple[str, str, str], DataFrame] = {}
-# models trained by this process, by the same key
+# what this process has stored: (application, folder, name) -> table, path or model
 _made: dict[tuple[str, str, str], object] = {}
 
 
@@ -46,11 +48,11 @@ def _query(run: Query) -> Query:
     return run
 
 
-def _staged_once(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _once(spark, folder, name, make):
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _staged:
-        _staged[key] = staged(build(), name)
-    return _staged[key]
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -111,6 +113,22 @@ def _lean_fact(spark, folder):
     return _fact(spark, folder, dim_customer(spark, folder))
 
 
+def _runs(spark, folder):
+    """The table of runs: one row per layer written."""
+    return _once(spark, folder, "runs", lambda: new_folder(spark, "layer-runs"))
+
+
+def _layer(spark, folder, name, build):
+    """A layer that is written once, with its row count recorded, and read back."""
+
+    def write():
+        rows, path = build(), new_folder(spark, name)
+        write_recorded(rows, path, name, _runs(spark, folder))
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return _once(spark, folder, f"layer {name}", write)
+
+
 def curated(spark, folder, name):
     """A table of the star schema, built once and read back from storage."""
     build = {
@@ -119,10 +137,31 @@ def curated(spark, folder, name):
         "dim_product": dim_product,
         "dim_location": _locations,
         "dim_date": dim_date,
-        "fact_delivery": fact_delivery,
-        "fact_delivery_event": fact_delivery_event,
+        "fact_delivery": _stored_fact,
+        "fact_delivery_event": lambda *_: events.fact_delivery_event(_processed(spark, folder)),
     }[name]
-    return _staged_once(spark, folder, name, lambda: build(spark, folder))
+    return _layer(spark, folder, name, lambda: build(spark, folder))
+
+
+def _by_order(spark, folder, name, build):
+    """A table of orders, stored once in buckets of order_id."""
+    return _once(spark, folder, f"by order {name}", lambda: staged_by_key(build(), name, "order_id"))
+
+
+def _stored_fact(spark, folder):
+    """The fact in buckets of order_id, from orders and item totals in the same buckets."""
+    totals = _by_order(spark, folder, "order_totals", lambda: order_items_agg(spark, folder))
+    orders = _by_order(spark, folder, "orders", lambda: clean_orders(spark, folder))
+    zips = curated(spark, folder, "dim_customer")
+    return _by_order(spark, folder, "fact_delivery", lambda: star.fact_of_totals(orders, totals, zips))
+
+
+def _raw_events(spark, folder):
+    return _layer(spark, folder, "raw_events", lambda: _accepted(spark, folder))
+
+
+def _processed(spark, folder):
+    return _layer(spark, folder, "processed_events", lambda: events.processed_events(_raw_events(spark, folder)))
 
 
 @_query
@@ -273,17 +312,12 @@ def key_uniqueness(spark, folder):
 
 @_query
 def layer_row_counts(spark, folder):
-    return quality.row_counts(
-        {
-            "raw_events": _accepted(spark, folder),
-            "processed_events": processed_events(spark, folder),
-            "dim_customer": dim_customer(spark, folder),
-            "dim_seller": dim_seller(spark, folder),
-            "dim_product": dim_product(spark, folder),
-            "dim_location": _locations(spark, folder),
-            "fact_delivery": _lean_fact(spark, folder),
-        }
-    )
+    """Counts that the writes of the layers observed."""
+    _processed(spark, folder)
+    for name in COUNTED[2:]:
+        curated(spark, folder, name)
+    runs = spark.read.schema("layer string, rows long, finished_at timestamp_ntz").parquet(_runs(spark, folder))
+    return quality.recorded_row_counts(runs.filter(F.col("layer").isin(*COUNTED)))
 
 
 @_query
@@ -298,13 +332,35 @@ def load_warehouse(spark, folder):
 # ---- features and model ----
 
 
+@_query
+def fact_by_month(spark, folder):
+    """Rows and delays by month folder, after one month was loaded a second time by itself."""
+    path = new_folder(spark, "fact-months")
+    fact = _stored_fact(spark, folder)
+    write_fact_months(fact, path)
+    write_fact_months(fact.filter(F.date_format("order_purchase_timestamp", "yyyy-MM") == RELOADED_MONTH), path)
+    return (
+        fact_months(spark, path)
+        .groupBy(MONTH)
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("is_delayed").alias("delayed"), F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("price"))
+    )
+
+
+@_query
+def fact_of_month(spark, folder):
+    """The orders of three months, from their folders alone."""
+    path = _once(spark, folder, "fact months", lambda: new_folder(spark, "fact-months"))
+    _once(spark, folder, "fact months written", lambda: write_fact_months(_stored_fact(spark, folder), path))
+    return fact_months(spark, path, RELOADED_MONTH, LAST_MONTH).select(MONTH, "order_id", "delay_days")
+
+
 def _feature_base(spark, folder):
     dims = {
         name: curated(spark, folder, f"dim_{name}")
         for name in ("customer", "seller", "product", "location", "date")
     }
     return feat.feature_base(
-        _lean_fact(spark, folder),
+        _stored_fact(spark, folder),
         dims["product"],
         dims["customer"],
         dims["seller"],
@@ -328,10 +384,8 @@ def scoring_base(spark, folder):
 
 @_query
 def unscored_orders(spark, folder):
-    rows = feat.scoring_base(
-        _feature_base(spark, folder), retail.earlier_predictions(spark, folder)
-    )
-    return _rounded(rows, *_COORDINATES)
+    scored = _by_order(spark, folder, "earlier_predictions", lambda: retail.earlier_predictions(spark, folder))
+    return _rounded(feat.scoring_base(_feature_base(spark, folder), scored), *_COORDINATES)
 
 
 @_query
@@ -342,12 +396,8 @@ def order_distance(spark, folder):
 
 def training_features(spark, folder):
     """Read several times by what follows, so stored."""
-    return _staged_once(
-        spark,
-        folder,
-        "training-features",
-        lambda: feat.features(feat.training_base(_feature_base(spark, folder))),
-    )
+    rows = lambda: feat.features(feat.training_base(_feature_base(spark, folder)))
+    return _once(spark, folder, "training features", lambda: staged(rows(), "training-features"))
 
 
 def _train_side(spark, folder):
@@ -444,13 +494,6 @@ def grid_scores(spark, folder):
     return search.grid_scores(fold_scores(train, feat.exact_medians(train), ratio, Grid(), FOLDS), FOLDS)
 
 
-def _once(spark, folder, name, make):
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _made:
-        _made[key] = make()
-    return _made[key]
-
-
 def _trained(spark, folder):
     """The model's path and its metrics on the test side: the full grid, then a fit on all training rows."""
 
