@@ -313,6 +313,16 @@ ORACLE_SQL: dict[str, str] = {
               UNION ALL SELECT 'dim_date', count(*) FROM dim_date
               UNION ALL SELECT 'fact_delivery', count(*) FROM orders
               UNION ALL SELECT 'fact_delivery_event', count(DISTINCT event_id) FROM accepted) AS loads"""),
+    "csv_rejects": _sql("orders_raw items", """
+        SELECT 'orders' AS data_set, order_id AS record_key, 'order_purchase_timestamp' AS column_name, 'oops' AS value,
+               'not_timestamp_ntz' AS reason FROM orders_raw WHERE k % 97 = 0
+        UNION ALL SELECT 'orders', order_id, 'order_approved_at', '1995-02-30 00:00:00', 'not_timestamp_ntz' FROM orders_raw WHERE k % 89 = 0
+        UNION ALL SELECT 'order_items', CAST(l_orderkey AS VARCHAR), 'price', 'n/a', 'not_double' FROM items WHERE l_orderkey % 101 = 0
+        UNION ALL SELECT 'order_items', CAST(l_orderkey AS VARCHAR), 'order_item_id', '2.5', 'not_int' FROM items WHERE l_orderkey % 103 = 0"""),
+    "csv_orders": _sql("orders_raw", """
+        SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 97 <> 0 THEN order_purchase_timestamp END AS order_purchase_timestamp,
+                                      CASE WHEN k % 89 <> 0 THEN order_approved_at END AS order_approved_at)
+        FROM orders_raw"""),
     "fact_by_month": _sql("fact_delivery", """
         SELECT strftime(order_purchase_timestamp, '%Y-%m') AS order_month, count(*) AS orders,
                CAST(sum(is_delayed) AS BIGINT) AS delayed, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price

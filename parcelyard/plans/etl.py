@@ -1,12 +1,14 @@
 """Raw files to processed events, star schema and warehouse tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelyard import schemas
 from parcelyard.operators import events, star
 from parcelyard.sinks import warehouse
 from parcelyard.sinks.files import record_run, write_layer
-from parcelyard.sources.files import curated_table, event_files, raw_csv
+from parcelyard.sources.files import csv_rejects, curated_table, event_files, raw_csv
 
 # dimensions first: the facts read them back
 TABLE_ORDER = (
@@ -25,6 +27,17 @@ def raw_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: raw_csv(spark, name, f"{folder.rstrip('/')}/{name}.csv") for name in schemas.RAW_FILES}
 
 
+def build_rejects(spark: SparkSession, folder: str, out: str, raise_on_reject: bool = False) -> int:
+    """Write what the raw files under `folder` hold that does not fit to `out`/rejects, a folder per data set, and
+    return the number of rejects. `raise_on_reject` raises if there are any, after they are written."""
+    folder, path = folder.rstrip("/"), f"{out.rstrip('/')}/rejects"
+    found = [csv_rejects(spark, name, f"{folder}/{name}.csv") for name in schemas.RAW_FILES]
+    rejects = write_layer(reduce(DataFrame.unionByName, found), path, partition_by=("data_set",))
+    if rejects and raise_on_reject:
+        raise ValueError(f"{rejects} values do not fit; see {path}")
+    return rejects
+
+
 def build_processed(spark: SparkSession, event_path: str, out: str) -> int:
     processed = events.processed_events(event_files(spark, event_path))
     return write_layer(processed, f"{out.rstrip('/')}/delivery_events")

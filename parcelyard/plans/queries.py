@@ -16,8 +16,8 @@ from parcelyard.operators.ranking import stratified_folds
 from parcelyard.plans.delay_model import train_and_evaluate
 from parcelyard.plans.etl import TABLE_ORDER
 from parcelyard.sinks import warehouse
-from parcelyard.sinks.files import MONTH, fact_months, write_event_lines, write_fact_months, write_recorded
-from parcelyard.sources import retail
+from parcelyard.sinks.files import MONTH, fact_months, write_clean_csv, write_event_lines, write_fact_months, write_recorded
+from parcelyard.sources import files, retail
 from parcelyard.sources.files import event_files
 from parcelyard.sources.kafka import message_files
 from parcelyard.streaming import ingest
@@ -169,6 +169,43 @@ def fact_delivery(spark, folder):
     return _fact(spark, folder, curated(spark, folder, "dim_customer"))
 
 
+def _csv_files(spark, folder):
+    """Orders and items as CSV files whose header is in another order than declared, with values that do not fit."""
+
+    def write():
+        path, k = new_folder(spark, "csv"), F.col("order_id").cast("bigint")
+        orders = retail.orders(spark, folder).withColumns(
+            {
+                "order_purchase_timestamp": F.when(k % 97 == 0, F.lit("oops")).otherwise(F.col("order_purchase_timestamp").cast("string")),
+                "order_approved_at": F.when(k % 89 == 0, F.lit("1995-02-30 00:00:00")).otherwise(F.col("order_approved_at").cast("string")),
+            }
+        )
+        items = retail.order_items(spark, folder).withColumns(
+            {
+                "price": F.when(k % 101 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string")),
+                "order_item_id": F.when(k % 103 == 0, F.lit("2.5")).otherwise(F.col("order_item_id").cast("string")),
+                "shipping_limit_date": F.lit(None).cast("string"),
+            }
+        )
+        write_clean_csv(orders.select(*reversed(orders.columns)), f"{path}/orders.csv")
+        write_clean_csv(items.select(*reversed(items.columns)), f"{path}/order_items.csv")
+        return path
+
+    return _once(spark, folder, "csv files", write)
+
+
+@_query
+def csv_rejects(spark, folder):
+    path = _csv_files(spark, folder)
+    return files.csv_rejects(spark, "orders", f"{path}/orders.csv").unionByName(files.csv_rejects(spark, "order_items", f"{path}/order_items.csv"))
+
+
+@_query
+def csv_orders(spark, folder):
+    """The orders that the CSV files give, cleaned: what does not fit is NULL."""
+    return star.clean_orders(files.raw_csv(spark, "orders", f"{_csv_files(spark, folder)}/orders.csv"))
+
+
 # ---- reports and dashboard ----
 
 
