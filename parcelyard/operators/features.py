@@ -1,6 +1,8 @@
 """Delay features: base joins, derived columns, imputation and scaling."""
 
+from functools import reduce
 from math import isnan
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +26,7 @@ TEST_SHARE_HEX = "3333"  # first four hex digits of a digest below this: one fif
 SPLIT_SEED = 42
 
 _BINS = 4096
+_SKETCH = 10_000  # accuracy of the quantile sketch: ranks are off by a 10,000th of the rows at most
 
 
 def feature_base(
@@ -156,60 +159,80 @@ def known(column: str) -> Column:
 
 
 def exact_medians(df: DataFrame, columns=FEATURES) -> dict[str, float | None]:
-    """Exact median of each column (mean of the middle two for an even count). Runs jobs on `df`.
+    """Exact median of each column (mean of the middle two for an even count). Runs jobs on `df`, two as a rule.
 
-    Each pass counts the values of the open columns in equal-width bins and keeps only the bin that holds
-    the middle rank, until that bin is a single value. What leaves the executors is a few thousand bin
-    counts per column, however many rows there are and however often one value repeats.
+    The first pass takes a mergeable quantile sketch of each column, which gives a narrow bracket around the middle.
+    The second counts the rows below each bracket and, in bins, the values inside. Should the middle be outside its
+    bracket after all, or in a bin of several values, further passes narrow that column down. What leaves the
+    executors is a sketch and a few thousand counts per column, however many rows there are and however often
+    one value repeats.
     """
-    span = df.agg(
-        *[f(known(c)).alias(f"{tag}_{c}") for c in columns for tag, f in
-          (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    ).first()
+    span = df.agg(*[a for c in columns for a in _span(c)]).first()
     medians: dict[str, float | None] = {c: None for c in columns}
-    # column -> bounds of the open range, ranks of the two middle values inside it
+    # column -> bounds of the open range, ranks of the two middle values (counted from the range's start or the column's)
     search = {
-        c: (span[f"lo_{c}"], span[f"hi_{c}"], (span[f"n_{c}"] - 1) // 2, span[f"n_{c}"] // 2)
+        c: (*span[f"at_{c}"], (span[f"n_{c}"] - 1) // 2, span[f"n_{c}"] // 2)
         for c in columns
         if span[f"n_{c}"]
     }
+    first = True
     while search:
-        for c, (lo, hi, _, _) in list(search.items()):
-            if lo == hi:
-                medians[c] = lo
+        below, found = _bin_counts(df, search)
+        for c, (lo, hi, left, right) in list(search.items()):
+            if first:
+                left, right = left - below[c], right - below[c]
+            bins, held = found[c], sum(b["n"] for b in found[c])
+            if left < 0 or right >= held:
+                if not first:
+                    raise ArithmeticError(f"the middle of {c} is lost")
+                search[c] = (span[f"lo_{c}"], span[f"hi_{c}"], left + below[c], right + below[c])
+                continue
+            lower, upper = _bin_of_rank(bins, left), _bin_of_rank(bins, right)
+            if lower is not upper:  # the middle falls between two bins
+                medians[c] = (lower["hi"] + upper["lo"]) / 2
+                del search[c]
+            elif lower["lo"] == lower["hi"]:
+                medians[c] = lower["lo"]
                 del search[c]
-        for c, bins in _bin_counts(df, search).items():
-            lower, upper = (_bin_of_rank(bins, rank) for rank in search[c][2:])
-            if lower is upper:
-                if (lower["lo"], lower["hi"]) == search[c][:2]:
+            else:
+                if (lower["lo"], lower["hi"]) == (lo, hi):
                     raise ArithmeticError(f"the range of {c} does not narrow")
                 before = sum(b["n"] for b in bins if b["bin"] < lower["bin"])
-                search[c] = (lower["lo"], lower["hi"], search[c][2] - before, search[c][3] - before)
-            else:  # the middle falls between two bins
-                medians[c] = (lower["hi"] + upper["lo"]) / 2
-                del search[c]
+                search[c] = (lower["lo"], lower["hi"], left - before, right - before)
+        first = False
     return medians
 
 
-def _bin_counts(df: DataFrame, search: dict) -> dict[str, list]:
-    if not search:
-        return {}
+def _span(column: str) -> list[Column]:
+    """Count, ends and a bracket of the middle that the sketch's error cannot miss by much."""
+    value, around = known(column), 2 / _SKETCH
+    bracket = F.percentile_approx(value, [0.5 - around, 0.5 + around], _SKETCH)
+    return [F.count(value).alias(f"n_{column}"), F.min(value).alias(f"lo_{column}"), F.max(value).alias(f"hi_{column}"), bracket.alias(f"at_{column}")]
+
+
+def _bin_counts(df: DataFrame, search: dict) -> tuple[dict[str, int], dict[str, list]]:
+    """Rows below each column's open range, and counts and ends of the bins inside it, in one job.
+
+    Which ranges a row is below of is one number, a bit per column, so a row adds one entry to that count.
+    """
 
     def binned(c: str) -> Column:
         lo, hi = search[c][:2]
         value = known(c)
         # dividing both ends first keeps a range wider than the largest double finite
-        share = (value / 2 - lo / 2) / F.lit(hi / 2 - lo / 2)
+        share = (value / 2 - lo / 2) / F.lit(hi / 2 - lo / 2 if hi > lo else 1.0)
         place = F.least(F.lit(_BINS - 1), F.floor(share * _BINS).cast("int"))
         return F.struct(
             F.lit(c).alias("column"),
-            F.when(value.between(lo, hi), place).alias("bin"),
+            F.when(value.between(lo, hi), place).cast("long").alias("bin"),
             value.alias("value"),
         )
 
     # filtering after the explode, not the array before it, stays in generated code
+    entries = [F.when(known(c) < search[c][0], F.lit(1 << k)).otherwise(0) for k, c in enumerate(search)]
+    below = F.struct(F.lit("").alias("column"), reduce(add, entries).cast("long").alias("bin"), F.lit(0.0).alias("value"))
     rows = (
-        df.select(F.explode(F.array(*[binned(c) for c in search])).alias("v"))
+        df.select(F.explode(F.array(below, *[binned(c) for c in search])).alias("v"))
         .select("v.*")
         .filter(F.col("bin").isNotNull())
         .groupBy("column", "bin")
@@ -217,9 +240,14 @@ def _bin_counts(df: DataFrame, search: dict) -> dict[str, list]:
         .collect()
     )
     out: dict[str, list] = {c: [] for c in search}
+    under = dict.fromkeys(search, 0)
     for row in sorted(rows, key=lambda r: r["bin"]):
-        out[row["column"]].append(row)
-    return out
+        if row["column"]:
+            out[row["column"]].append(row)
+        else:
+            for k, c in enumerate(search):
+                under[c] += row["n"] * (row["bin"] >> k & 1)
+    return under, out
 
 
 def _bin_of_rank(bins: list, rank: int):

@@ -460,10 +460,13 @@ def class_ratio(spark, folder):
     return _rounded(feat.class_ratio(feat.training_base(_feature_base(spark, folder))), "ratio")
 
 
+def _medians(spark, folder):
+    return _once(spark, folder, "medians", lambda: feat.exact_medians(_train_side(spark, folder)))
+
+
 @_query
 def feature_medians(spark, folder):
-    medians = feat.exact_medians(_train_side(spark, folder))
-    rows = spark.createDataFrame(list(medians.items()), "feature string, median double")
+    rows = spark.createDataFrame(list(_medians(spark, folder).items()), "feature string, median double")
     return _rounded(rows, "median")
 
 
@@ -474,15 +477,13 @@ def feature_moments(spark, folder):
 
 @_query
 def features_imputed(spark, folder):
-    medians = feat.exact_medians(_train_side(spark, folder))
-    return _rounded(feat.impute(training_features(spark, folder), medians), *feat.FEATURES)
+    return _rounded(feat.impute(training_features(spark, folder), _medians(spark, folder)), *feat.FEATURES)
 
 
 @_query
 def features_scaled(spark, folder):
-    train = _train_side(spark, folder)
-    medians = feat.exact_medians(train)
-    scaling = feat.collected_moments(feat.impute(train, medians))
+    medians = _medians(spark, folder)
+    scaling = feat.collected_moments(feat.impute(_train_side(spark, folder), medians))
     filled = feat.impute(training_features(spark, folder), medians)
     return _rounded(feat.scale(filled, scaling), *feat.FEATURES)
 
@@ -528,7 +529,7 @@ def grid_scores(spark, folder):
     """All 81 points of the default grid on three folds, learned from at most `SEARCH_ROWS` training rows."""
     train = _train_side(spark, folder)
     ratio = feat.class_ratio(train).first()["ratio"] or 1.0
-    return search.grid_scores(fold_scores(train, feat.exact_medians(train), ratio, Grid(), FOLDS), FOLDS)
+    return search.grid_scores(fold_scores(train, _medians(spark, folder), ratio, Grid(), FOLDS), FOLDS)
 
 
 def _trained(spark, folder):

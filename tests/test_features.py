@@ -140,3 +140,44 @@ def test_auc_against_brute_force(spark):
     wins = sum((p > q) + (p == q) / 2 for p in pos for q in neg)
     df = spark.createDataFrame(data, SCORED).repartition(5)
     assert evaluation.roc_auc(df) == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+
+
+@pytest.fixture
+def spread(spark):
+    k = F.col("id")
+    return spark.range(0, 30_000, 1, 6).select(
+        (k * 7919 % 30_011).cast("double").alias("a"), F.when(k % 3 == 0, 1.0).otherwise(2.0).alias("b"), (1 / (k + 1)).alias("c"),
+        F.when(k % 5 > 0, k.cast("double")).alias("d"), F.lit(None).cast("double").alias("e"),
+    )
+
+
+def counted_passes(monkeypatch):
+    passes, plain = [], feat._bin_counts
+    monkeypatch.setattr(feat, "_bin_counts", lambda df, search: passes.append(dict(search)) or plain(df, search))
+    return passes
+
+
+def test_medians_take_one_sketch_and_one_count(spread, monkeypatch):
+    passes = counted_passes(monkeypatch)
+    held = spread.toPandas()
+    want = {c: None if held[c].isna().all() else held[c].median() for c in held}
+    assert feat.exact_medians(spread, list("abcde")) == want
+    assert len(passes) == 1 and set(passes[0]) == set("abcd")
+    # the bracket holds a few thousandths of the rows
+    low, high = passes[0]["a"][:2]
+    assert held["a"].between(low, high).sum() < 60
+
+
+@pytest.mark.parametrize("bracket", [(0.1, 0.2), (0.8, 0.9), (0.0, 1.0)])
+def test_a_bracket_that_misses_the_middle(spread, monkeypatch, bracket):
+    plain = feat._span
+
+    def off(column):
+        *ends, at = plain(column)
+        return [*ends, F.percentile_approx(feat.known(column), list(bracket), 100).alias(f"at_{column}")]
+
+    monkeypatch.setattr(feat, "_span", off)
+    passes = counted_passes(monkeypatch)
+    held = spread.toPandas()
+    assert feat.exact_medians(spread, ["a", "c", "d"]) == {c: held[c].median() for c in "acd"}
+    assert len(passes) > 1
