@@ -153,6 +153,14 @@ _cte("event_log", "orders_raw", """
           SELECT order_id, 'DELIVERED', strftime(order_delivered_customer_date, '%Y-%m-%d %H:%M:%S')
           FROM orders_raw WHERE order_delivered_customer_date IS NOT NULL) AS milestones""")
 
+_cte("days_means", "fact_delivery", """
+    SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month, avg(delay_days) AS days
+    FROM fact_delivery WHERE delay_days IS NOT NULL GROUP BY 1""")
+_cte("residual_spread", "fact_delivery days_means", """
+    SELECT stddev_pop(f.delay_days - m.days) AS spread
+    FROM fact_delivery f JOIN days_means m ON strftime(f.order_purchase_timestamp, '%Y-%m') = m.month
+    WHERE f.delay_days IS NOT NULL""")
+
 # ---- features ----
 
 _cte("base", "fact_delivery dim_product dim_customer dim_seller dim_location dim_date", """
@@ -354,13 +362,19 @@ ORACLE_SQL: dict[str, str] = {
                              + " FROM imputed"),
     "features_scaled": _sql("imputed scaling", "SELECT order_id, is_delayed, " + _each(
         "round(({c} - mean_{c}) / CASE WHEN dev_{c} = 0 THEN 1 ELSE dev_{c} END, 6) AS {c}") + " FROM imputed, scaling"),
-    "delay_probability_maps": _sql("fact_delivery", """
+    "delay_probability_maps": _sql("fact_delivery residual_spread", """
         SELECT order_id, delay_days, CAST(delay_days > 0 AS INTEGER) AS predicted_is_delayed,
                CASE WHEN delay_days IS NOT NULL
                     THEN round(greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), delay_days / CAST(10 AS DOUBLE))), 6)
                END AS clamped_probability,
-               round(1 / (1 + exp(-delay_days / CAST(2 AS DOUBLE))), 6) AS logistic_probability
-        FROM fact_delivery"""),
+               round(1 / (1 + exp(-delay_days / CAST(2 AS DOUBLE))), 6) AS logistic_probability,
+               round(1 / (1 + exp(-delay_days / spread)), 6) AS recorded_probability
+        FROM fact_delivery, residual_spread"""),
+    "days_scores": _sql("days_means residual_spread", """
+        SELECT f.order_id, CAST(NULL AS INTEGER) AS is_delayed, CAST(m.days > 0 AS DOUBLE) AS predicted_is_delayed,
+               round(1 / (1 + exp(-m.days / spread)), 6) AS delay_probability
+        FROM fact_delivery f LEFT JOIN days_means m ON strftime(f.order_purchase_timestamp, '%Y-%m') = m.month, residual_spread
+        WHERE f.delay_days IS NULL"""),
     "classification_metrics": _sql("predictions", """
         SELECT round((tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE), 6) AS accuracy,
                coalesce(round(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 6), 0) AS precision,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelyard import schemas
 from parcelyard.functions import scores
-from parcelyard.models import search
+from parcelyard.models import days, search
 from parcelyard.models.scoring import PREDICTION_COLUMNS, load_model, save_model, score
 from parcelyard.models.search import SEED, fold_scores
 from parcelyard.models.training import Grid, train_delay_model
@@ -488,15 +488,39 @@ def features_scaled(spark, folder):
     return _rounded(feat.scale(filled, scaling), *feat.FEATURES)
 
 
+def _orders_by_month(spark, folder):
+    return _stored_fact(spark, folder).select("order_id", "delay_days", F.date_format("order_purchase_timestamp", "yyyy-MM").alias(MONTH))
+
+
+def _days_model(spark, folder):
+    """A stored model of delay days by month of purchase."""
+
+    def train():
+        path = new_folder(spark, "days-model")
+        days.train_days_model(_orders_by_month(spark, folder), MONTH, path)
+        return path
+
+    return _once(spark, folder, "days model", train)
+
+
+@_query
+def days_scores(spark, folder):
+    """Orders without a delivery, scored by the stored model of delay days."""
+    waiting = _orders_by_month(spark, folder).filter(F.col("delay_days").isNull())
+    return _rounded(days.score_days(spark, waiting, MONTH, _days_model(spark, folder)), "delay_probability")
+
+
 @_query
 def delay_probability_maps(spark, folder):
-    days = F.col("delay_days").cast("double")
+    recorded = days.residual_scale(days.read_metadata(spark, _days_model(spark, folder)))
+    late = F.col("delay_days").cast("double")
     return _lean_fact(spark, folder).select(
         "order_id",
         "delay_days",
-        scores.delayed_class(days).alias("predicted_is_delayed"),
-        F.round(scores.clamped_probability(days), 6).alias("clamped_probability"),
-        F.round(scores.logistic_probability(days), 6).alias("logistic_probability"),
+        scores.delayed_class(late).alias("predicted_is_delayed"),
+        F.round(scores.clamped_probability(late), 6).alias("clamped_probability"),
+        F.round(scores.logistic_probability(late), 6).alias("logistic_probability"),
+        F.round(scores.logistic_probability(late, recorded), 6).alias("recorded_probability"),
     )
 
 
