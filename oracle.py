@@ -134,6 +134,18 @@ _cte("sent", "event_rows", """
 _cte("accepted", "sent", """
     SELECT event_id, order_id, event_type, event_timestamp, produced_at, event_time, produced_time
     FROM sent WHERE NOT broken""")
+_cte("checked", "sent", """
+    SELECT CASE WHEN broken AND k % 3 = 0 THEN substr(start || ending, 1, 25)
+                WHEN broken AND k % 3 = 1 THEN start || '}'
+                WHEN broken THEN '[' || start || ending || ']'
+                ELSE start || ending END AS message,
+           CASE WHEN broken AND k % 3 = 0 THEN 'malformed_json'
+                WHEN broken AND k % 3 = 1 THEN 'missing_key'
+                WHEN broken THEN 'not_an_object' END AS reject_reason
+    FROM (SELECT *, '{"event_id":"' || event_id || '","order_id":"' || order_id || '","event_type":"' || event_type
+                    || '","event_timestamp":"' || event_timestamp || '"' AS start,
+                 ',"produced_at":"' || produced_at || '"}' AS ending
+          FROM sent) AS parts""")
 _cte("processed", "accepted", """
     SELECT DISTINCT event_id, order_id, event_type, event_time AS event_timestamp, produced_time AS produced_at
     FROM accepted""")
@@ -270,18 +282,12 @@ ORACLE_SQL: dict[str, str] = {
                '{"event_id":"' || event_id || '","order_id":"' || order_id || '","event_type":"' || event_type
                || '","event_timestamp":"' || event_timestamp || '","produced_at":"' || produced_at || '"}' AS value
         FROM event_log"""),
-    "validate_events": _sql("sent", """
-        SELECT CASE WHEN broken AND k % 3 = 0 THEN substr(start || ending, 1, 25)
-                    WHEN broken AND k % 3 = 1 THEN start || '}'
-                    WHEN broken THEN '[' || start || ending || ']'
-                    ELSE start || ending END AS message,
-               CASE WHEN broken AND k % 3 = 0 THEN 'malformed_json'
-                    WHEN broken AND k % 3 = 1 THEN 'missing_key'
-                    WHEN broken THEN 'not_an_object' END AS reject_reason
-        FROM (SELECT *, '{"event_id":"' || event_id || '","order_id":"' || order_id || '","event_type":"' || event_type
-                        || '","event_timestamp":"' || event_timestamp || '"' AS start,
-                     ',"produced_at":"' || produced_at || '"}' AS ending
-              FROM sent) AS parts"""),
+    "validate_events": _sql("checked", "SELECT * FROM checked"),
+    "stream_rejects": _sql("checked", "SELECT * FROM checked WHERE reject_reason IS NOT NULL"),
+    "stream_ledger": _sql("checked", """
+        SELECT 10 AS batches, 1 AS repeated_batches, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted,
+               count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected
+        FROM checked"""),
     "events_scan": _sql("accepted", "SELECT * EXCLUDE (event_time, produced_time) FROM accepted"),
     "stream_ingest": _sql("accepted", "SELECT * EXCLUDE (event_time, produced_time) FROM accepted"),
     "stream_dedup": _sql("accepted", "SELECT DISTINCT * EXCLUDE (event_time, produced_time) FROM accepted"),

@@ -1,8 +1,10 @@
 """Every operator as a query over the retail test tables."""
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelyard import schemas
@@ -20,7 +22,7 @@ from parcelyard.sinks.files import MONTH, fact_months, write_clean_csv, write_ev
 from parcelyard.sources import files, retail
 from parcelyard.sources.files import event_files
 from parcelyard.sources.kafka import message_files
-from parcelyard.streaming import ingest
+from parcelyard.streaming import ingest, ledger
 from parcelyard.workspace import new_folder, staged, staged_by_key
 
 PRODUCED_AT = "2024-01-01 00:00:00"
@@ -28,6 +30,8 @@ LOOKED_UP_ORDER = "1234"
 # the reports' own thresholds suit millions of orders; the test tables have far fewer per state
 STATE_THRESHOLD = 500
 FOLDS = 3
+# batches of the streamed messages, and the one that fails once
+BATCHES, FAILING_BATCH = 10, 4
 # months of `fact_by_month` and `fact_of_month`
 RELOADED_MONTH, LAST_MONTH = "1995-03", "1995-05"
 # layers whose rows are counted
@@ -308,18 +312,47 @@ def fact_delivery_event(spark, folder):
     return events.fact_delivery_event(processed_events(spark, folder))
 
 
-def _message_stream(spark, folder):
+def _message_stream(spark, folder, batches=None):
+    """The messages as a stream; with `batches`, in that many files, one for each batch."""
     path = new_folder(spark, "messages")
     lines = retail.messages(spark, folder).select(F.col("value").cast("string").alias("value"))
-    write_event_lines(lines, path)
-    return message_files(spark, path)
+    write_event_lines(lines.repartition(batches) if batches else lines, path)
+    return message_files(spark, path, 1 if batches else None)
+
+
+def _ingested(spark, folder):
+    """The sink of an ingest in `BATCHES` batches. One of them fails between sink and commit and runs again, and half
+    way the batches so far are compacted."""
+
+    def fail_once(batch_id):
+        if batch_id == FAILING_BATCH:
+            raise RuntimeError("forced: stored, but not committed")
+
+    def run():
+        sink, messages = new_folder(spark, "ingest"), _message_stream(spark, folder, BATCHES)
+        with suppress(StreamingQueryException):
+            ingest.start_ingest(messages, sink, f"{sink}/checkpoint", stored=fail_once).awaitTermination()
+        ledger.compact(spark, sink)
+        ingest.start_ingest(messages, sink, f"{sink}/checkpoint").awaitTermination()
+        return sink
+
+    return _once(spark, folder, "ingested", run)
 
 
 @_query
 def stream_ingest(spark, folder):
-    sink = new_folder(spark, "ingest")
-    ingest.start_ingest(_message_stream(spark, folder), sink, f"{sink}/checkpoint").awaitTermination()
-    return ingest.ingested_events(spark, sink).select(*events.EVENT_COLUMNS)
+    return ingest.ingested_events(spark, _ingested(spark, folder)).select(*events.EVENT_COLUMNS)
+
+
+@_query
+def stream_rejects(spark, folder):
+    rejects = ingest.ingested_rejects(spark, _ingested(spark, folder))
+    return rejects.select(F.decode("value", "UTF-8").alias("message"), "reject_reason")
+
+
+@_query
+def stream_ledger(spark, folder):
+    return ledger.summary(ledger.entries(spark, _ingested(spark, folder)))
 
 
 @_query

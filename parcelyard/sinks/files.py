@@ -50,8 +50,8 @@ def write_recorded(df: DataFrame, path: str, layer: str, runs: str, **how) -> in
 
 
 def record_run(spark: SparkSession, runs: str, layer: str, rows: int) -> None:
-    run = spark.createDataFrame([(layer, rows)], "layer string, rows long").withColumn("finished_at", utc_now())
-    run.coalesce(1).write.mode("append").parquet(runs)
+    run = spark.range(0, 1, 1, 1).select(F.lit(layer).alias("layer"), F.lit(rows).cast("long").alias("rows"), utc_now().alias("finished_at"))
+    run.write.mode("append").parquet(runs)
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:

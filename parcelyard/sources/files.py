@@ -51,8 +51,8 @@ def _header_csv(spark: SparkSession, name: str, path: str, whole_lines: bool = F
     return reader.option("mode", "PERMISSIVE").option("columnPruning", not whole_lines).csv(path)
 
 
-def event_files(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines event batches under `path` (a folder or a glob). Lines that do not parse keep their
+def event_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON Lines event batches under `path` (a folder, a glob or a list of them). Lines that do not parse keep their
     text in `_corrupt_record` and have NULL fields."""
     schema = schemas.T.StructType(schemas.EVENT_TEXT.fields + [schemas.T.StructField(CORRUPT_RECORD, schemas.T.StringType())])
     return (

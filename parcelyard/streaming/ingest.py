@@ -1,42 +1,48 @@
 """Stream ingest: messages in, accepted JSON Lines and rejects out.
 
 The checkpoint takes the place of hand-committed offsets: a batch is committed only after both its folders
-are written, and a batch that is repeated after a failure overwrites the same two folders.
+are written and entered in the sink's ledger, and a batch that is repeated after a failure overwrites the same two
+folders.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelyard.operators import events as ev
 from parcelyard.sources.files import event_files
+from parcelyard.streaming import ledger
 
 DEDUP_DELAY = "10 minutes"
 DEDUP_SALTS = 32
 
 
-def _batch_folder(sink: str, kind: str, query: str, batch_id: int) -> str:
-    """A folder of its own for each batch of each checkpoint: `query` is the id that the checkpoint keeps."""
-    return f"{sink.rstrip('/')}/{kind}/query={query}/batch_id={batch_id}"
-
-
 def start_ingest(
-    messages: DataFrame, sink: str, checkpoint: str, every: str | None = None
+    messages: DataFrame, sink: str, checkpoint: str, every: str | None = None, stored: Callable[[int], None] | None = None
 ) -> StreamingQuery:
     """Check each message and store it under `sink`. `every` is a processing-time trigger; without it the
-    query takes what is there and stops."""
+    query takes what is there and stops. `stored` is called with each batch's number once the sink has the batch and
+    before it is committed; if it raises, the batch runs again."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ledger.enter(spark, sink, query, batch_id, ledger.STARTED)
         checked = ev.check_messages(batch).persist()
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        accepted, rejected, count = Observation(), Observation(), F.count(F.lit(1)).alias("rows")
         try:
-            ev.accepted_lines(checked).write.mode("overwrite").text(
-                _batch_folder(sink, "accepted", query, batch_id)
+            ev.accepted_lines(checked).observe(accepted, count).write.mode("overwrite").text(
+                ledger.batch_folder(sink, "accepted", query, batch_id)
             )
-            ev.rejected_messages(checked).write.mode("overwrite").parquet(
-                _batch_folder(sink, "rejected", query, batch_id)
+            ev.rejected_messages(checked).observe(rejected, count).write.mode("overwrite").parquet(
+                ledger.batch_folder(sink, "rejected", query, batch_id)
             )
         finally:
             checked.unpersist()
+        ledger.enter(spark, sink, query, batch_id, ledger.STORED, accepted.get["rows"], rejected.get["rows"])
+        if stored:
+            stored(batch_id)
 
     writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -44,7 +50,8 @@ def start_ingest(
 
 
 def ingested_events(spark: SparkSession, sink: str) -> DataFrame:
-    return event_files(spark, f"{sink.rstrip('/')}/accepted")
+    """Accepted events of every batch that the ledger has as stored."""
+    return event_files(spark, ledger.live_folders(spark, sink) or f"{sink.rstrip('/')}/accepted")
 
 
 def ingested_rejects(spark: SparkSession, sink: str) -> DataFrame:

@@ -2,11 +2,12 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from tests.support import rows
 from parcelyard.operators import events as ev
 from parcelyard.sources.kafka import message_files, topic_options
-from parcelyard.streaming import ingest
+from parcelyard.streaming import ingest, ledger
 
 
 def event(event_id, **extra):
@@ -15,7 +16,7 @@ def event(event_id, **extra):
 
 
 def put(folder: Path, name: str, *lines: str) -> None:
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("\n".join(lines) + "\n")
 
 
@@ -116,3 +117,100 @@ def test_topic_options():
     assert options["minOffsetsPerTrigger"] == "500" and options["maxTriggerDelay"] == "10s"
     assert options["maxOffsetsPerTrigger"] == "10000"
     assert "minOffsetsPerTrigger" not in topic_options("host:9092", batch_events=None)
+
+
+# ---- the ledger of the sink ----
+
+
+def start(spark, tmp_path, stored=None):
+    messages = message_files(spark, str(tmp_path / "in"), 1)
+    return ingest.start_ingest(messages, str(tmp_path / "raw"), str(tmp_path / "checkpoint"), stored=stored)
+
+
+def fail_at(batch_id):
+    def stored(done):
+        if done == batch_id:
+            raise RuntimeError("between sink and commit")
+
+    return stored
+
+
+def ledger_rows(spark, tmp_path):
+    found = ledger.batches(ledger.entries(spark, str(tmp_path / "raw")))
+    return [tuple(r) for r in found.select("batch_id", "attempts", "is_stored", "accepted", "rejected").orderBy("batch_id").collect()]
+
+
+def ids(spark, tmp_path):
+    return sorted(r["event_id"] for r in ingest.ingested_events(spark, str(tmp_path / "raw")).collect())
+
+
+@pytest.fixture
+def five_files(tmp_path):
+    for part in range(5):
+        put(tmp_path / "in", f"{part}.txt", event(f"e{part}a"), event(f"e{part}b"), *BAD[: part % 3])
+    return sorted(f"e{part}{x}" for part in range(5) for x in "ab")
+
+
+def test_a_failure_between_sink_and_commit_is_seen(spark, tmp_path, five_files):
+    with pytest.raises(StreamingQueryException):
+        start(spark, tmp_path, fail_at(2)).awaitTermination()
+    assert [r[:3] for r in ledger_rows(spark, tmp_path)] == [(0, 1, True), (1, 1, True), (2, 1, True)]
+    start(spark, tmp_path).awaitTermination()
+    got = ledger_rows(spark, tmp_path)
+    assert [r[:3] for r in got] == [(0, 1, True), (1, 1, True), (2, 2, True), (3, 1, True), (4, 1, True)]
+    assert [r[3] for r in got] == [2] * 5 and sum(r[4] for r in got) == 4
+    assert ids(spark, tmp_path) == five_files
+    summary = ledger.summary(ledger.entries(spark, str(tmp_path / "raw")))
+    assert tuple(summary.first()) == (5, 1, 10, 4)
+
+
+def test_a_batch_that_never_reached_the_sink_is_not_read(spark, tmp_path, five_files):
+    start(spark, tmp_path).awaitTermination()
+    sink = str(tmp_path / "raw")
+    query = ledger.entries(spark, sink).first()["query"]
+    put(tmp_path / "raw" / "accepted" / f"query={query}" / "batch_id=9", "part-0.txt", event("half"))
+    ledger.enter(spark, sink, query, 9, ledger.STARTED)
+    assert ids(spark, tmp_path) == five_files
+    assert ledger_rows(spark, tmp_path)[-1] == (9, 1, False, None, None)
+    assert ledger.compact(spark, sink) == 5 and ids(spark, tmp_path) == five_files
+
+
+def test_compaction_keeps_every_line_once(spark, tmp_path, five_files):
+    with pytest.raises(StreamingQueryException):
+        start(spark, tmp_path, fail_at(2)).awaitTermination()
+    sink = str(tmp_path / "raw")
+    assert ledger.compact(spark, sink) == 3
+    assert len(ledger.live_folders(spark, sink)) == 1 and len(ids(spark, tmp_path)) == 6
+    start(spark, tmp_path).awaitTermination()  # the batch that failed runs again under the compacted folder
+    assert ids(spark, tmp_path) == five_files and len(ledger.live_folders(spark, sink)) == 3
+    assert ledger.compact(spark, sink) == 3 and len(ledger.live_folders(spark, sink)) == 1
+    assert ids(spark, tmp_path) == five_files
+    assert ledger.compact(spark, sink) == 0
+
+
+def test_a_failing_compaction_changes_nothing_for_readers(spark, tmp_path, five_files, monkeypatch):
+    start(spark, tmp_path).awaitTermination()
+    sink = str(tmp_path / "raw")
+    monkeypatch.setattr(ledger, "enter", lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        ledger.compact(spark, sink)
+    monkeypatch.undo()
+    assert len(ledger.live_folders(spark, sink)) == 5 and ids(spark, tmp_path) == five_files
+    assert ledger.compact(spark, sink) == 5 and ids(spark, tmp_path) == five_files
+
+
+def test_a_gap_stops_compaction(spark, tmp_path):
+    sink = str(tmp_path / "raw")
+    for batch_id in (0, 1, 3):
+        put(tmp_path / "raw" / "accepted" / "query=q" / f"batch_id={batch_id}", "part-0.txt", event(f"e{batch_id}"))
+        ledger.enter(spark, sink, "q", batch_id, ledger.STORED, 1, 0)
+    assert ledger.compact(spark, sink) == 2
+    assert [f.rsplit("/", 1)[-1] for f in ledger.live_folders(spark, sink)] == ["upto=1", "batch_id=3"]
+    assert ids(spark, tmp_path) == ["e0", "e1", "e3"]
+
+
+def test_a_sink_without_a_ledger(spark, tmp_path):
+    sink = str(tmp_path / "raw")
+    assert ledger.live_folders(spark, sink) == [] and tuple(ledger.summary(ledger.entries(spark, sink)).first()) == (0, 0, 0, 0)
+    put(tmp_path / "raw" / "accepted", "part-0.txt", event("old"))
+    assert ids(spark, tmp_path) == ["old"]
