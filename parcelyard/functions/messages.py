@@ -14,35 +14,37 @@ def decoded_text(value: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def parsed_parts(text: Column) -> Column:
+def end_mark(text: Column) -> Column:
+    """The digest of a text, which no text can hold."""
+    return F.sha2(text, 256)
+
+
+def parsed_parts(text: Column, mark: Column) -> Column:
     """The message as the first of two array elements; NULL if that is not JSON.
 
     The parser stops at the end of the first value, so `{"a":1}}` alone would pass. With a known element
-    after it, trailing text breaks the array. Its key is the digest of the text, which no text can hold.
+    after it, trailing text breaks the array. Its key is the text's end mark.
     """
-    closed = F.concat(F.lit("["), text, F.lit(',{"'), _end(text), F.lit('":null}]'))
+    closed = F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":null}]'))
     return F.from_json(closed, "array<map<string,string>>", _STRICT)
 
 
-def _end(text: Column) -> Column:
-    return F.sha2(text, 256)
-
-
-def object_fields(parts: Column, text: Column) -> Column:
+def object_fields(parts: Column, mark: Column) -> Column:
     """The top-level fields of a message that is one JSON object; NULL for anything else."""
-    whole = (F.size(parts) == 2) & F.coalesce(F.map_contains_key(F.get(parts, F.lit(1)), _end(text)), F.lit(False))
+    whole = (F.size(parts) == 2) & F.coalesce(F.map_contains_key(F.get(parts, F.lit(1)), mark), F.lit(False))
     return F.when(whole, F.get(parts, F.lit(0)))
 
 
-def last_value(fields: Column, key: str) -> Column:
-    """The value of a key; the last one if a message repeats the key, as JSON readers of files have it."""
-    own = F.filter(F.map_entries(fields), lambda e: e["key"] == key)
-    return F.get(own, F.size(own) - 1)["value"]
+def required_values(text: Column) -> Column:
+    """The required keys' values as one struct of texts; the last one if a message repeats a key, as JSON readers of
+    files have it."""
+    return F.from_json(text, ", ".join(f"{k} string" for k in REQUIRED_KEYS), _STRICT)
 
 
-def is_json_value(text: Column) -> Column:
-    parts = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), _end(text), F.lit('"]')), "array<string>", _STRICT)
-    return F.coalesce((F.size(parts) == 2) & (F.get(parts, F.lit(1)) == _end(text)), F.lit(False))
+def is_other_json(text: Column, mark: Column) -> Column:
+    """JSON, but not an object. What starts like an object is not parsed again: it is one or broken."""
+    parts = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>", _STRICT)
+    return F.coalesce(~text.rlike(r"^[ \t\r\n]*\{") & (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == mark), F.lit(False))
 
 
 def lacks_required_key(fields: Column) -> Column:

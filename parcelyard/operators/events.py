@@ -60,25 +60,26 @@ def event_messages(events: DataFrame) -> DataFrame:
 
 
 def check_messages(messages: DataFrame) -> DataFrame:
-    """Add `text`, `fields` and `reject_reason` (NULL when the message is accepted) to each message.
+    """Add `text` and `reject_reason` (NULL when the message is accepted) to each message.
 
-    Text and JSON come out of a generator, so a message is parsed once: a filter on the outcome cannot be
-    pushed below it and parse again.
+    Text, its end mark, the parsed JSON and its fields each come out of a generator, so a message is decoded, hashed
+    and parsed once: nothing above can be merged into them or pushed below them and do it again.
     """
-    decoded = msg.decoded_text(F.col("value"))
-    parsed = F.struct(decoded.alias("text"), msg.parsed_parts(decoded).alias("_parts"))
-    fields, text = msg.object_fields(F.col("_parts"), F.col("text")), F.col("text")
+
+    def once(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+    text, mark, parts, fields = (F.col(c) for c in ("text", "_mark", "_parts", "_fields"))
+    decoded = once(messages, text=msg.decoded_text(F.col("value")))
+    parsed = once(once(decoded, _mark=msg.end_mark(text)), _parts=msg.parsed_parts(text, mark))
     reason = (
         F.when(text.isNull(), "undecodable")
-        .when(fields.isNull() & msg.is_json_value(text), "not_an_object")
+        .when(fields.isNull() & msg.is_other_json(text, mark), "not_an_object")
         .when(fields.isNull(), "malformed_json")
         .when(msg.lacks_required_key(fields), "missing_key")
     )
-    return (
-        messages.select("*", F.inline(F.array(parsed)))
-        .withColumns({"fields": fields, "reject_reason": reason})
-        .drop("_parts")
-    )
+    whole = once(parsed, _fields=msg.object_fields(parts, mark)).drop("_parts")
+    return once(whole, reject_reason=reason).drop("_mark", "_fields")
 
 
 def accepted_lines(checked: DataFrame) -> DataFrame:
@@ -90,9 +91,8 @@ def accepted_lines(checked: DataFrame) -> DataFrame:
 
 def accepted_events(checked: DataFrame) -> DataFrame:
     """Accepted messages as five text columns."""
-    return checked.filter(F.col("reject_reason").isNull()).select(
-        *[msg.last_value(F.col("fields"), name).alias(name) for name in EVENT_COLUMNS]
-    )
+    accepted = checked.filter(F.col("reject_reason").isNull())
+    return accepted.select(F.inline(F.array(msg.required_values(F.col("text")))))
 
 
 def rejected_messages(checked: DataFrame) -> DataFrame:
