@@ -318,6 +318,9 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'dim_product', count(*) FROM part
         UNION ALL SELECT 'dim_location', count(DISTINCT c_nationkey) FROM customer
         UNION ALL SELECT 'fact_delivery', count(*) FROM orders"""),
+    "warehouse_fact": _sql("fact_delivery", "SELECT * FROM fact_delivery"),
+    "warehouse_predictions": _sql("predictions", """
+        SELECT order_id, CAST(NULL AS INTEGER) AS is_delayed, predicted_is_delayed, delay_probability FROM predictions"""),
     "load_warehouse": _sql("accepted dim_date", """
         SELECT table_name, rows, true AS ok, CAST(NULL AS VARCHAR) AS error
         FROM (SELECT 'dim_customer' AS table_name, count(*) AS rows FROM customer

@@ -20,7 +20,7 @@ from parcelyard.plans.etl import TABLE_ORDER
 from parcelyard.sinks import warehouse
 from parcelyard.sinks.files import MONTH, fact_months, write_clean_csv, write_event_lines, write_fact_months, write_recorded
 from parcelyard.sources import files, retail
-from parcelyard.sources.files import event_files
+from parcelyard.sources.files import event_files, warehouse_table
 from parcelyard.sources.kafka import message_files
 from parcelyard.streaming import ingest, ledger
 from parcelyard.workspace import new_folder, staged, staged_by_key
@@ -390,13 +390,44 @@ def layer_row_counts(spark, folder):
     return quality.recorded_row_counts(runs.filter(F.col("layer").isin(*COUNTED)))
 
 
+def _warehouse(spark, folder):
+    """A database whose tables were loaded twice, and the status of the second load."""
+
+    def load():
+        location = new_folder(spark, "warehouse")
+        database = location.rsplit("/", 1)[-1].replace("-", "_")
+        warehouse.create_tables(spark, database, location)
+        tables = {name: (lambda n=name: curated(spark, folder, n)) for name in TABLE_ORDER}
+        warehouse.load_tables(spark, database, {name: (lambda n=name: curated(spark, folder, n).limit(1)) for name in TABLE_ORDER})
+        return database, warehouse.load_tables(spark, database, tables)
+
+    return _once(spark, folder, "warehouse", load)
+
+
 @_query
 def load_warehouse(spark, folder):
-    location = new_folder(spark, "warehouse")
-    database = location.rsplit("/", 1)[-1].replace("-", "_")
-    warehouse.create_tables(spark, database, location)
-    tables = {name: (lambda n=name: curated(spark, folder, n)) for name in TABLE_ORDER}
-    return warehouse.load_tables(spark, database, tables)
+    return _warehouse(spark, folder)[1]
+
+
+@_query
+def warehouse_fact(spark, folder):
+    """The fact as the warehouse has it after a second load replaced the first."""
+    return warehouse_table(spark, _warehouse(spark, folder)[0], "fact_delivery")
+
+
+@_query
+def warehouse_predictions(spark, folder):
+    """Predictions appended in two runs; the second leaves out orders that have one."""
+
+    def append():
+        database = _warehouse(spark, folder)[0]
+        found = retail.predictions(spark, folder).select("order_id", "predicted_is_delayed", "delay_probability")
+        warehouse.append_predictions(found.filter(F.col("order_id").cast("bigint") % 3 == 0), database, skip_scored=True)
+        warehouse.append_predictions(found, database, skip_scored=True)
+        return database
+
+    database = _once(spark, folder, "predictions appended", append)
+    return warehouse_table(spark, database, "fact_delivery_prediction")
 
 
 # ---- features and model ----

@@ -1,8 +1,9 @@
 """Warehouse tables: declare, replace, append."""
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from parcelyard import schemas
 from parcelyard.operators.features import unscored
@@ -27,19 +28,50 @@ def check_keys(df: DataFrame, schema, what: str) -> None:
             raise ValueError(f"{what}: {key} is NULL in some rows")
 
 
-def _insert(df: DataFrame, database: str, name: str, overwrite: bool) -> int:
+def _append(df: DataFrame, database: str, name: str) -> int:
     schema = schemas.WAREHOUSE[name]
     schemas.require_columns(df, schema, name)
     check_keys(df, schema, name)
     observed = Observation()
     rows = df.select(*schema.names).observe(observed, F.count(F.lit(1)).alias("rows"))
-    rows.write.insertInto(f"{database}.{name}", overwrite=overwrite)
+    rows.write.insertInto(f"{database}.{name}")
     return observed.get["rows"]
 
 
+def _digest(schema) -> list[Column]:
+    """Row count and a sum of row hashes: the same for the same rows in any order or layout."""
+    hashed = F.sum(F.xxhash64(*schema.names).cast("decimal(38,0)")).alias("digest")
+    return [F.count(F.lit(1)).alias("rows"), hashed]
+
+
 def replace_table(df: DataFrame, database: str, name: str) -> int:
-    """Replace a table's rows, keep its declared types, and return the row count."""
-    return _insert(df, database, name, overwrite=True)
+    """Replace a table's rows, keep its declared types, and return the row count.
+
+    The rows are written beside the table, and keys are checked on the way. Once what reading the files back gives has
+    the count and the digest of what was written, the table is pointed at them. So a reader sees the old rows or the
+    new ones, and a load that fails leaves the table as it was. The old files stay for readers that began before; their
+    folders are those under `database`'s location that no table points at.
+    """
+    spark, schema = df.sparkSession, schemas.WAREHOUSE[name]
+    schemas.require_columns(df, schema, name)
+    path = f"{_location(spark, database)}/{name}-{uuid.uuid4().hex}"
+    missing = [F.count_if(F.col(key).isNull()).alias(f"no_{key}") for key in schemas.key_columns(schema)]
+    written = Observation()
+    df.select(*schema.names).observe(written, *_digest(schema), *missing).write.parquet(path)
+    for key in schemas.key_columns(schema):
+        if written.get[f"no_{key}"]:
+            raise ValueError(f"{name}: {key} is NULL in some rows")
+    found = spark.read.schema(schema).parquet(path).agg(*_digest(schema)).first()
+    if (found["rows"], found["digest"]) != (written.get["rows"], written.get["digest"]):
+        raise ValueError(f"{name}: {path} does not hold the rows that were written")
+    spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(f"{database}.{name}")
+    return found["rows"]
+
+
+def _location(spark: SparkSession, database: str) -> str:
+    found = spark.sql(f"DESCRIBE DATABASE {database}").filter("info_name = 'Location'").first()
+    return found["info_value"].rstrip("/")
 
 
 def load_tables(
@@ -78,4 +110,4 @@ def append_predictions(
     ).select(*schema.names)
     if skip_scored:
         full = unscored(full, full.sparkSession.table(f"{database}.{name}")).select(*schema.names)
-    return _insert(full, database, name, overwrite=False)
+    return _append(full, database, name)

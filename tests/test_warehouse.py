@@ -91,3 +91,55 @@ def test_layer_files(spark, tmp_path):
 def test_csv_round_trip(spark, raw, tmp_path):
     write_clean_csv(raw["geolocation"], str(tmp_path / "geo"))
     assert rows(raw_csv(spark, "geolocation", str(tmp_path / "geo"))) == rows(raw["geolocation"])
+
+
+def test_a_failing_load_leaves_the_table_readable(spark, raw, tmp_path, monkeypatch):
+    warehouse.create_tables(spark, "swap_test", str(tmp_path / "db"))
+    sellers = star.dim_seller(raw["sellers"])
+    assert warehouse.replace_table(sellers, "swap_test", "dim_seller") == 2
+    before = rows(spark.table("swap_test.dim_seller"))
+    stops = sellers.withColumn("seller_city", F.raise_error(F.lit("half way")).cast("string"))
+    with pytest.raises(Exception, match="half way"):
+        warehouse.replace_table(stops, "swap_test", "dim_seller")
+    # files that do not hold what was written are not taken
+    plain = warehouse._digest
+    calls = []
+
+    def other(schema):
+        calls.append(1)
+        return plain(schema) if len(calls) == 1 else [F.count(F.lit(1)).alias("rows"), F.lit(0).cast("decimal(38,0)").alias("digest")]
+
+    monkeypatch.setattr(warehouse, "_digest", other)
+    with pytest.raises(ValueError, match="does not hold the rows"):
+        warehouse.replace_table(sellers.limit(1), "swap_test", "dim_seller")
+    monkeypatch.undo()
+    assert rows(spark.table("swap_test.dim_seller")) == before
+
+
+def test_a_reader_keeps_the_rows_it_began_with(spark, raw, tmp_path):
+    warehouse.create_tables(spark, "reader_test", str(tmp_path / "db"))
+    sellers = star.dim_seller(raw["sellers"])
+    warehouse.replace_table(sellers, "reader_test", "dim_seller")
+    began = spark.table("reader_test.dim_seller")
+    assert began.count() == 2
+    assert warehouse.replace_table(sellers.limit(0), "reader_test", "dim_seller") == 0
+    assert began.count() == 2 and spark.table("reader_test.dim_seller").count() == 0
+    assert warehouse.replace_table(sellers.unionByName(sellers), "reader_test", "dim_seller") == 4
+
+
+def test_appends_go_to_the_replaced_table(spark, tmp_path):
+    warehouse.create_tables(spark, "append_test", str(tmp_path / "db"))
+    scores = spark.createDataFrame([("a", 1.0, 0.9), ("b", 0.0, 0.1)], "order_id string, predicted_is_delayed double, delay_probability double")
+    full = scores.withColumn("is_delayed", F.lit(None).cast("int"))
+    assert warehouse.replace_table(full, "append_test", "fact_delivery_prediction") == 2
+    assert warehouse.append_predictions(scores.limit(1), "append_test") == 1
+    assert spark.table("append_test.fact_delivery_prediction").count() == 3
+
+
+def test_the_digest_does_not_depend_on_order(spark):
+    schema = schemas.WAREHOUSE["dim_seller"]
+    data = [(str(k), None if k % 3 else "z", "c", "s") for k in range(50)]
+    df = spark.createDataFrame(data, schema)
+    want = df.agg(*warehouse._digest(schema)).first()
+    assert df.repartition(5).agg(*warehouse._digest(schema)).first() == want
+    assert spark.createDataFrame([*data[1:], ("0", None, "c", "s")], schema).agg(*warehouse._digest(schema)).first() != want
