@@ -248,6 +248,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM fact_delivery f JOIN dim_customer c ON f.customer_id = c.customer_id
         GROUP BY c.customer_state HAVING count(f.order_id) > 500
         ORDER BY delay_rate_percent DESC, customer_state LIMIT 10"""),
+    "state_performance_1000": _sql("fact_delivery dim_customer", """
+        SELECT c.customer_state, count(f.order_id) AS total_deliveries,
+               CAST(sum(f.is_delayed) AS BIGINT) AS delayed_deliveries,
+               round(sum(f.is_delayed) / CAST(count(f.order_id) AS DOUBLE) * 100, 2) AS delay_rate_percent,
+               round(avg(f.delivery_duration_hours), 2) AS avg_delivery_hours
+        FROM fact_delivery f JOIN dim_customer c ON f.customer_id = c.customer_id
+        GROUP BY c.customer_state HAVING count(f.order_id) > 1000
+        ORDER BY delay_rate_percent DESC, customer_state LIMIT 10"""),
     "seller_revenue_top10": _sql("fact_delivery dim_seller", """
         SELECT s.seller_id, s.seller_city, s.seller_state, count(f.order_id) AS total_orders,
                CAST(round(sum(CAST(f.price AS DECIMAL(38,12))), 2) AS DOUBLE) AS total_revenue,

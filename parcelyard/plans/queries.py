@@ -31,7 +31,7 @@ LOOKED_UP_ORDER = "1234"
 STATE_THRESHOLD = 500
 FOLDS = 3
 # batches of the streamed messages, and the one that fails once
-BATCHES, FAILING_BATCH = 10, 4
+BATCHES, FAILING_BATCH, DEDUP_BATCHES = 10, 4, 3
 # months of `fact_by_month` and `fact_of_month`
 RELOADED_MONTH, LAST_MONTH = "1995-03", "1995-05"
 # layers whose rows are counted
@@ -225,6 +225,12 @@ def state_performance(spark, folder, min_deliveries=STATE_THRESHOLD):
     )
 
 
+@_query
+def state_performance_1000(spark, folder):
+    """The same report with its own threshold, which the smaller test tables do not reach."""
+    return state_performance(spark, folder, reports.MIN_STATE_DELIVERIES)
+
+
 @_query
 def seller_revenue_top10(spark, folder):
     return reports.seller_revenue(_lean_fact(spark, folder), dim_seller(spark, folder))
@@ -357,8 +363,9 @@ def stream_ledger(spark, folder):
 
 @_query
 def stream_dedup(spark, folder):
+    """Events of the messages, streamed in `DEDUP_BATCHES` batches, without repeats that come within ten minutes."""
     sink, checkpoint = new_folder(spark, "stream-dedup"), new_folder(spark, "checkpoint")
-    ingest.start_dedup(_message_stream(spark, folder), sink, checkpoint).awaitTermination()
+    ingest.start_dedup(_message_stream(spark, folder, DEDUP_BATCHES), sink, checkpoint).awaitTermination()
     return spark.read.schema(schemas.EVENT_TEXT).json(sink)
 
 

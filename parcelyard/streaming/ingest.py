@@ -5,8 +5,10 @@ are written and entered in the sink's ledger, and a batch that is repeated after
 folders.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +17,8 @@ from parcelyard.sources.files import event_files
 from parcelyard.streaming import ledger
 
 DEDUP_DELAY = "10 minutes"
-DEDUP_SALTS = 32
+REMEMBERED = 1_000_000
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def start_ingest(
@@ -59,28 +62,48 @@ def ingested_rejects(spark: SparkSession, sink: str) -> DataFrame:
     return rejects.parquet(f"{sink.rstrip('/')}/rejected")
 
 
-def stream_dedup(
-    messages: DataFrame, delay: str = DEDUP_DELAY, salts: int = DEDUP_SALTS
-) -> DataFrame:
+def first_of_each(events: DataFrame, key: str = "event_id", limit: int = REMEMBERED) -> DataFrame:
+    """`events` without rows whose key came before in the same task; needs no shuffle and keeps no state.
+
+    A task remembers `limit` keys and then starts anew, so repeats can be left over but no first row goes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            fresh = []
+            for place, value in enumerate(batch.column(key).to_pylist()):
+                if value not in seen:
+                    seen.add(value)
+                    fresh.append(place)
+            yield batch.take(pa.array(fresh, pa.int64()))
+            if len(seen) > limit:
+                seen.clear()
+
+    return events.mapInArrow(run, events.schema)
+
+
+def stream_dedup(messages: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     """Accepted events of a message stream, without repeats that arrive within `delay` of each other.
 
     The watermark runs on arrival time, which never goes back, so no event is ever late and dropped; a
-    repeat after `delay` is left to the batch dedup of the processed layer. Repeats of one event are first
-    dropped within `salts` groups chosen by source task, so an event sent millions of times is spread over
-    that many tasks and only one copy from each reaches the final step.
+    repeat after `delay` is left to the batch dedup of the processed layer. Repeats in one task of a batch go first,
+    without state: an event sent millions of times reaches the one stateful step as a copy from each task.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
-    arrived = (
-        ev.accepted_events(ev.check_messages(messages))
-        .withColumn("received_at", F.current_timestamp())
-        .withColumn("salt", salt)
-        .withWatermark("received_at", delay)
-    )
-    return (
-        arrived.dropDuplicatesWithinWatermark(["event_id", "salt"])
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .select(*ev.EVENT_COLUMNS)
-    )
+    events = first_of_each(ev.accepted_events(ev.check_messages(messages)))
+    arrived = events.withColumn("received_at", F.current_timestamp()).withWatermark("received_at", delay)
+    return arrived.dropDuplicatesWithinWatermark(["event_id"]).select(*ev.EVENT_COLUMNS)
+
+
+@contextmanager
+def _keyed_store(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB, on the executors' disks, in place of their heap."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
 
 
 def start_dedup(
@@ -96,4 +119,5 @@ def start_dedup(
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    with _keyed_store(messages.sparkSession):
+        return writer.start()

@@ -80,14 +80,47 @@ def test_stream_dedup_drops_no_old_event(spark, tmp_path):
     assert run_dedup(spark, tmp_path, files_per_batch=1).count() == 9
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_stream_dedup_of_a_hot_event(spark, tmp_path, salts):
+@pytest.mark.parametrize("remembered", [10, 1000])
+def test_stream_dedup_of_a_hot_event(spark, tmp_path, remembered, monkeypatch):
+    monkeypatch.setattr(ingest.first_of_each, "__defaults__", ("event_id", remembered))
     for part in range(6):
         put(tmp_path / "in", f"{part}.txt", *[event("hot")] * 200, *[event(f"{part}-{i}") for i in range(50)])
-    got = run_dedup(spark, tmp_path, salts=salts)
+    got = run_dedup(spark, tmp_path)
     assert got.count() == got.select("event_id").distinct().count() == 301
 
 
+def test_a_hot_event_leaves_each_task_once(spark, tmp_path):
+    data = [("hot" if k % 3 else str(k), k) for k in range(3000)] + [(None, 1), (None, 2)]
+    events = spark.createDataFrame(data, "event_id string, x int").repartition(4).cache()
+    tasks = events.rdd.getNumPartitions()
+    left = ingest.first_of_each(events)
+    assert left.filter("event_id = 'hot'").count() <= tasks and left.filter("event_id is null").count() <= tasks
+    assert left.select("event_id").distinct().count() == events.select("event_id").distinct().count()
+    assert ingest.first_of_each(events.limit(0)).count() == 0
+
+
+def test_one_stateful_step_on_disk(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", event("e1"), event("e1"), event("e2"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    messages = message_files(spark, str(tmp_path / "in"))
+    query = ingest.start_dedup(messages, str(tmp_path / "clean"), str(tmp_path / "dedup"))
+    query.awaitTermination()
+    (state,) = query.lastProgress["stateOperators"]
+    assert state["numRowsTotal"] == 2 and any("rocksdb" in k for k in state["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_stream_dedup_replays_and_restarts(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", event("e1"), event("e2"), event("e1"))
+    assert run_dedup(spark, tmp_path).count() == 2
+    assert run_dedup(spark, tmp_path).count() == 2  # nothing new
+    for lost in (tmp_path / "dedup" / "commits").iterdir():
+        lost.unlink()
+    put(tmp_path / "in", "b.txt", event("e2"), event("e3"))
+    got = run_dedup(spark, tmp_path)
+    assert sorted(r["event_id"] for r in got.collect()) == ["e1", "e2", "e3"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     lines = [event(f"e{i % 40}") for i in range(100)] + BAD * 3
     for part in range(4):
