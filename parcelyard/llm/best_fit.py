@@ -10,9 +10,12 @@ Null and empty texts are one piece that holds `END` alone. Repeated rows are pac
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 import zlib
+from collections.abc import Iterator
+from itertools import islice
 from types import ModuleType
 
 import numpy as np
@@ -39,38 +42,67 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.passing: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         return self.passing[word]
 
-    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words. A word of letters is one unit of the vocabulary, so its ids end where a unit does; for the others
+        the tokenizer says which characters each id stands for, which takes it longer."""
+        letters = {w for w in words if w.isalpha() or w.decode().isalpha()}
         out = {}
-        for at in range(0, len(words), 2000):
-            some = [w.decode() for w in words[at : at + 2000]]
-            starts = np.cumsum([0, *(len(w) + 1 for w in some)])
-            made = self.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(made.ids, "<u4")
-            cuts = np.searchsorted([o[0] for o in made.offsets], starts)
-            out |= {w: ids[a:b].tobytes() for w, a, b in zip(words[at : at + 2000], cuts[:-1], cuts[1:], strict=True)}
+        for group, units in ((letters, True), (words - letters, False)):
+            names = list(group)
+            for at in range(0, len(names), 2000):
+                out.update(self._cut(names[at : at + 2000], units))
         return out
 
+    def _cut(self, names: list[bytes], units: bool) -> Iterator[tuple[bytes, bytes]]:
+        line = b" ".join(names).decode()
+        if units:
+            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(names):
+                return self._cut(names, False)
+            cuts = [0, *cuts.tolist()]
+        else:
+            made = self.tokenizer.encode(line, add_special_tokens=False)
+            ids, starts = np.array(made.ids, "<u4"), np.cumsum([0, *(len(w.decode()) + 1 for w in names)])
+            cuts = np.searchsorted([o[0] for o in made.offsets], starts).tolist()
+        held, cuts = ids.tobytes(), [4 * c for c in cuts]
+        return zip(names, map(held.__getitem__, map(slice, cuts, cuts[1:])))
+
     def learn(self, words: set[bytes]) -> None:
         """Make all of `words` known until the next call, and the first `MOST` ever met for good."""
-        new = {w for w in words if w not in self}
-        cores = {}
-        for word in new:
+        pause = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and there is much of it
+        try:
+            self._learn(words)
+        finally:
+            if pause:
+                gc.enable()
+
+    def _learn(self, words: set[bytes]) -> None:
+        cores, wanted = {}, set()
+        for word in words.difference(self):
             core = word.rstrip(b".,;:!?|")
             if len(core) < len(word) and core and 97 <= core[-1] <= 122:
-                cores[word] = core, word[len(core) :]
-        parts = {p for pair in cores.values() for p in pair if p not in self}
-        known = self._encoded(sorted((new - cores.keys()) | parts))
-        for word, pair in cores.items():
-            known[word] = b"".join(known[p] if p in known else self[p] for p in pair)
-        self.passing = {}
-        for word, ids in known.items():
-            (self if len(self) < self.MOST else self.passing)[word] = ids
+                cores[word] = pair = core, word[len(core) :]
+                wanted.update(pair)
+            else:
+                wanted.add(word)
+        known = self._encoded(wanted.difference(self))
+        for word, (core, tail) in cores.items():
+            known[word] = (known.get(core) or self[core]) + (known.get(tail) or self[tail])
+        room = max(0, self.MOST - len(self))
+        self.passing = known
+        if room:
+            self.update(known if len(known) <= room else dict(islice(known.items(), room)))
 
 
 def _encoder(path: str) -> WordEncoder:
