@@ -302,6 +302,15 @@ ORACLE_SQL: dict[str, str] = {
     "dedup_events": _sql("accepted", "SELECT DISTINCT * EXCLUDE (event_time, produced_time) FROM accepted"),
     "dedup_report": _sql("accepted", """
         SELECT count(*) AS raw_events, count(DISTINCT event_id) AS clean_events FROM accepted"""),
+    "event_places": _sql("orders_raw", """
+        SELECT order_id, event_type, row_number() OVER (ORDER BY bought NULLS LAST, order_id, step) - 1 AS place
+        FROM (SELECT order_id, order_purchase_timestamp AS bought, 'ORDER_CREATED' AS event_type, 0 AS step
+              FROM orders_raw WHERE order_purchase_timestamp IS NOT NULL
+              UNION ALL SELECT order_id, order_purchase_timestamp, 'ORDER_APPROVED', 1 FROM orders_raw WHERE order_approved_at IS NOT NULL
+              UNION ALL SELECT order_id, order_purchase_timestamp, 'SHIPPED', 2 FROM orders_raw WHERE order_delivered_carrier_date IS NOT NULL
+              UNION ALL SELECT order_id, order_purchase_timestamp, 'DELIVERED', 3 FROM orders_raw WHERE order_delivered_customer_date IS NOT NULL) AS e"""),
+    "processed_layer": _sql("processed", "SELECT * FROM processed"),
+    "curated_fact": _sql("fact_delivery", "SELECT * FROM fact_delivery"),
     "processed_events": _sql("processed", "SELECT * FROM processed"),
     "fact_delivery_event": _sql("processed", """
         SELECT event_id, order_id, event_type AS status, event_timestamp, produced_at FROM processed"""),

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelyard.functions import messages as msg
 from parcelyard.functions.timestamps import event_time_text, iso_utc_text, utc_clock, utc_now
 from parcelyard.operators.dedup import keep_one
+from parcelyard.operators.ranking import rank_within
 
 # fixed values: order column -> event type, in life-cycle order
 LIFE_CYCLE = {
@@ -21,14 +22,13 @@ def event_log(
 ) -> DataFrame:
     """Up to four events per order, one per milestone that has a time.
 
-    Orders are sorted by purchase time within each partition, or over all of them with `global_order`, and
-    then unfolded, so the events of an order stay together in life-cycle order without a shuffle.
+    Orders are unfolded where they are, so the events of an order stay together in life-cycle order without a
+    shuffle; `global_order` sorts all orders by purchase time first (see also `emission_places`).
     The event id is a digest of order, type and time: a retried task repeats it, so replays can be dropped.
     """
     produced_at = utc_now() if produced_at is None else produced_at
-    emission = [F.asc_nulls_last("order_purchase_timestamp"), F.asc("order_id")]
     source = orders.select(F.col("order_id").cast("string").alias("order_id"), *LIFE_CYCLE)
-    ordered = source.orderBy(*emission) if global_order else source.sortWithinPartitions(*emission)
+    ordered = source.orderBy(F.asc_nulls_last("order_purchase_timestamp"), F.asc("order_id")) if global_order else source
     steps = F.array(
         *[
             F.struct(
@@ -51,6 +51,16 @@ def event_log(
     )
 
 
+def emission_places(orders: DataFrame) -> DataFrame:
+    """order_id, event_type and the place, from 0, of each event when events are emitted one by one: by the order's purchase
+    time (unknown last), order id and life-cycle step. The sort is by range, with one number a partition counted on."""
+    steps = [F.struct(F.lit(kind).alias("event_type"), F.lit(step).alias("step"), F.col(c).alias("at")) for step, (c, kind) in enumerate(LIFE_CYCLE.items())]
+    order_id, purchased = F.col("order_id").cast("string").alias("order_id"), F.col("order_purchase_timestamp").alias("purchased")
+    events = orders.select(order_id, purchased, F.inline(F.array(*steps))).filter(F.col("at").isNotNull())
+    order = [F.asc_nulls_last("purchased"), F.asc("order_id"), F.asc("step")]
+    return rank_within(events.withColumn("all", F.lit(0)), "all", order, "place").select("order_id", "event_type", "place")
+
+
 def event_messages(events: DataFrame) -> DataFrame:
     """Keyed messages. The key is the order, so a topic keeps an order's events in one partition."""
     body = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"})

@@ -210,6 +210,12 @@ def csv_orders(spark, folder):
     return star.clean_orders(files.raw_csv(spark, "orders", f"{_csv_files(spark, folder)}/orders.csv"))
 
 
+@_query
+def curated_fact(spark, folder):
+    """The fact as its Parquet layer has it."""
+    return curated(spark, folder, "fact_delivery")
+
+
 # ---- reports and dashboard ----
 
 
@@ -280,6 +286,11 @@ def event_log(spark, folder):
     return _event_log(spark, folder)
 
 
+@_query
+def event_places(spark, folder):
+    return events.emission_places(retail.orders(spark, folder))
+
+
 @_query
 def event_messages(spark, folder):
     sent = events.event_messages(_event_log(spark, folder))
@@ -318,6 +329,12 @@ def fact_delivery_event(spark, folder):
     return events.fact_delivery_event(processed_events(spark, folder))
 
 
+@_query
+def processed_layer(spark, folder):
+    """The processed events as their Parquet layer has them."""
+    return _processed(spark, folder)
+
+
 def _message_stream(spark, folder, batches=None):
     """The messages as a stream; with `batches`, in that many files, one for each batch."""
     path = new_folder(spark, "messages")

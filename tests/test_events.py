@@ -137,3 +137,14 @@ def test_processed_events_are_typed_and_unique(spark):
 def test_dedup_report_of_nothing(spark):
     none = ev.accepted_events(checked(spark, "[1]"))
     assert rows(ev.dedup_report(none)) == [(0, 0)]
+
+
+def test_emission_places(spark, raw, conf):
+    conf("spark.sql.shuffle.partitions", "3")
+    orders = star.clean_orders(raw["orders"])
+    none = orders.filter("order_id = 'A'").withColumns({"order_id": F.lit("0"), "order_purchase_timestamp": F.lit(None).cast("timestamp_ntz")})
+    got = ev.emission_places(orders.unionByName(none).repartition(4)).orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(len(got)))
+    in_order = ev.event_log(orders.unionByName(none), global_order=True).collect()
+    assert [(r["order_id"], r["event_type"]) for r in got] == [(r["order_id"], r["event_type"]) for r in in_order]
+    assert ev.emission_places(orders.limit(0)).count() == 0
