@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GOLD, give_back, hashes_of, map_batches, mixed, span_hashes, steps, table, utf8, word_spans, words_of
+from .common import GOLD, give_back, hashes_of, map_batches, mixed, span_hashes, stage, steps, table, utf8, word_spans, words_of
 
 SAMPLE, LEAST, BUCKETS, KEEP, ROUNDS, EPOCHS, PRIOR_GOOD, WRONG, TRUST, RATE = 8192, 512, 1 << 18, 0.5, 100, 300, 0.85, 0.002, 0.99, 0.3
 #: Characters of word beginnings, and the length that a row's words share (votes have 1 each).
@@ -131,11 +131,17 @@ def _values(features: list[np.ndarray], votes_: int) -> np.ndarray:
     return np.concatenate([np.concatenate([np.ones(votes_), np.full(len(f) - votes_, LENGTH * (len(f) - votes_) ** -0.5 if len(f) > votes_ else 0.0)]) for f in features])
 
 
-def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int, epochs: int = EPOCHS) -> np.ndarray:
+def _counted(features: np.ndarray, votes_: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row's votes and then its distinct other features, and how often each occurs."""
+    kinds, times = np.unique(features[votes_:], return_counts=True)
+    return np.concatenate([features[:votes_], kinds]), np.concatenate([np.ones(votes_, np.int64), times])
+
+
+def train(columns: np.ndarray, times: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int, epochs: int = EPOCHS) -> np.ndarray:
     """Logistic regression on soft labels by full-batch gradient steps with momentum and decay; the last weight is the bias.
 
-    Row k has the features `columns[bounds[k]:bounds[k + 1]]`, its votes first. Steps add up over blocks of rows, so that
-    only the features themselves are held for all of them.
+    Row k has the features `columns[bounds[k]:bounds[k + 1]]`, its votes first, each as often as `times` says. Steps add up
+    over blocks of rows, so that only the features themselves are held for all of them.
     """
     weight = np.zeros(3 * votes_ + BUCKETS + 1)
     speed = np.zeros_like(weight)
@@ -143,26 +149,56 @@ def train(columns: np.ndarray, bounds: np.ndarray, good: np.ndarray, votes_: int
     for low in range(0, len(good), 512):
         starts, sizes = bounds[low : low + 513][:-1], np.diff(bounds[low : low + 513]) - votes_
         voted = columns[starts[:, None] + np.arange(votes_)]
-        own = columns[bounds[low] : bounds[min(low + 512, len(good))]]
-        own = own[(np.arange(len(own)) - np.repeat(starts - bounds[low], sizes + votes_)) >= votes_]
+        own = slice(bounds[low], bounds[min(low + 512, len(good))])
+        other = (np.arange(own.stop - own.start) - np.repeat(starts - own.start, sizes + votes_)) >= votes_
+        own, often = columns[own][other], times[own][other]
         some = np.flatnonzero(sizes)
         first = (np.cumsum(sizes) - sizes)[some]
-        blocks.append((good[low : low + 512], voted, own, some, first, sizes[some], LENGTH * sizes[some] ** -0.5))
+        scale = LENGTH * np.add.reduceat(often, first) ** -0.5 if len(own) else np.zeros(0)
+        blocks.append((good[low : low + 512], voted, own, often, some, first, sizes[some], scale))
     for _ in range(epochs):
         slope = np.zeros_like(weight)
-        for target, voted, own, some, first, sizes, scale in blocks:
+        for target, voted, own, often, some, first, sizes, scale in blocks:
             z = weight[voted].sum(axis=1) + weight[-1]
             if len(own):
-                z[some] += scale * np.add.reduceat(weight[own], first)
+                z[some] += scale * np.add.reduceat(weight[own] * often, first)
             off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
             slope += np.bincount(voted.ravel(), np.repeat(off, votes_), len(weight))
-            slope += np.bincount(own, np.repeat(off[some] * scale, sizes), len(weight))
+            slope += np.bincount(own, np.repeat(off[some] * scale, sizes) * often, len(weight))
             slope[-1] += off.sum()
         speed = 0.9 * speed - RATE * (slope / len(good) + 1e-6 * weight)
         weight += speed
     return weight
 
 
+def _targets(posteriors: np.ndarray, given: list[bool | None]) -> np.ndarray:
+    """Soft labels from the posterior of a row's votes and its given label, if any."""
+    odds = posteriors.clip(1e-9, 1 - 1e-9)
+    odds = odds / (1 - odds) * np.array([{True: TRUST / (1 - TRUST), False: (1 - TRUST) / TRUST}.get(x, 1.0) for x in given])
+    labels = odds / (1 + odds)
+    bad = np.array([x is False for x in given], bool)  # a document that a label calls bad is bad, however well it looks
+    return np.where(bad, np.minimum(labels, 1 - TRUST), labels)
+
+
+def _trained(rows: DataFrame, posterior: dict[int, float]) -> np.ndarray | None:
+    """Weights from the sample's rows (pattern, features, times, given), learned in one task: the sample is bounded.
+
+    None for an empty sample. Only the weights come to the driver.
+    """
+
+    def learn(sample: pa.Table) -> pa.Table:
+        lists = sample.column("features").combine_chunks()
+        bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        columns, times = (sample.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("features", "times"))
+        labels = _targets(np.array([posterior[p] for p in sample.column("pattern").to_pylist()]), sample.column("given").to_pylist())
+        weight = train(columns, times, bounds, labels, len(LABELLERS))
+        give_back()
+        return pa.table({"weight": pa.array(weight, pa.float64())})
+
+    learned = rows.groupBy().applyInArrow(learn, "weight double").toArrow()
+    return learned["weight"].to_numpy() if len(learned) else None
+
+
 def _drawn(given: DataFrame, docs: DataFrame) -> DataFrame:
     """doc_id and given of `SAMPLE` labels (doc_id, given, toxic); kinds (language, given, toxic) too rare to have `LEAST` rows weigh more."""
     if "lang" in docs.columns:
@@ -198,7 +234,8 @@ def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, di
         data, offsets = utf8(batch.column("text"))
         for low, high in steps(offsets):
             v, *rest = votes(data, offsets, low, high)
-            yield {"pattern": _pattern(v), "features": _features(v, *rest), "given": batch.column("given").slice(low, high - low)}
+            features, times = zip(*(_counted(f, v.shape[1]) for f in _features(v, *rest)), strict=True)
+            yield {"pattern": _pattern(v), "features": features, "times": times, "given": batch.column("given").slice(low, high - low)}
 
     if given is None:
         docs = docs.withColumn("given", F.lit(None).cast("boolean"))
@@ -208,18 +245,11 @@ def fit(docs: DataFrame, given: DataFrame | None = None) -> tuple[np.ndarray, di
         docs = docs.join(_drawn(given, docs), "doc_id")
     order = F.xxhash64(F.coalesce("text", F.lit("")))
     sample = docs.select("text", "given", order.alias("h"), "doc_id").orderBy("h", "doc_id").limit(SAMPLE).select("text", "given")
-    rows = map_batches(sample, cut, "pattern long, features array<int>, given boolean").toArrow()
-    if not len(rows):
-        return np.zeros(3 * len(LABELLERS) + BUCKETS + 1), posterior, chance
-    odds = np.array([posterior[p] for p in rows["pattern"].to_pylist()]).clip(1e-9, 1 - 1e-9)
-    labelled = rows["given"].to_pylist()
-    odds = odds / (1 - odds) * np.array([{True: TRUST / (1 - TRUST), False: (1 - TRUST) / TRUST}.get(x, 1.0) for x in labelled])
-    labels = odds / (1 + odds)
-    bad = np.array([x is False for x in labelled])  # a document that a label calls bad is bad, however well it looks
-    labels = np.where(bad, np.minimum(labels, 1 - TRUST), labels)
-    lists = rows["features"].combine_chunks()
-    bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return train(lists.flatten().to_numpy(zero_copy_only=False), bounds, labels, len(LABELLERS)), posterior, chance
+    # the limit leaves one partition; features are made in many
+    spread = sample.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = stage(map_batches(spread, cut, "pattern long, features array<int>, times array<int>, given boolean"), "sample")
+    weight = _trained(rows, posterior)
+    return np.zeros(3 * len(LABELLERS) + BUCKETS + 1) if weight is None else weight, posterior, chance
 
 
 def classify(docs: DataFrame, given: DataFrame | None = None) -> DataFrame:
