@@ -12,18 +12,16 @@ from __future__ import annotations
 
 import gc
 import os
-import sys
 import zlib
 from collections.abc import Iterator
 from itertools import islice
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, stage, steps, table, utf8
+from .common import kept_in_worker, map_batches, stage, steps, table, utf8
 
 END, SEQUENCE, GROUP_PIECES = 0, 2048, 20_000
 
@@ -107,7 +105,7 @@ class WordEncoder(dict):
 
 def _encoder(path: str) -> WordEncoder:
     """The encoder of this process: a worker keeps it from task to task, so words are encoded once a worker, not once a task."""
-    kept = sys.modules.setdefault("_kept_word_encoders", ModuleType("_kept_word_encoders")).__dict__
+    kept = kept_in_worker()
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]
@@ -145,7 +143,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
             yield made | ({"ids": [np.frombuffer(p[2], "<u4").astype(np.int32) for p in parts]} if with_ids else {})
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, spread long" + ", ids array<int>" * with_ids
-    return map_batches(docs.select("doc_id", "text"), step, schema)
+    return map_batches(docs.select("doc_id", "text"), step, schema, keeps=True)
 
 
 class Rooms:

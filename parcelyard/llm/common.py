@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ STEP_BYTES = 1 << 18
 #: Places of the bit map of `may_be_in`.
 FILTER_BITS = 1 << 26
 
+_KEPT = "_kept_between_tasks"
+
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -43,11 +47,22 @@ def give_back() -> None:
         trim(0)
 
 
-def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], dict | Iterator[dict]], schema: str) -> DataFrame:
-    """`mapInArrow` for a function that turns one batch into one or several column dictionaries."""
+def kept_in_worker() -> dict:
+    """What this worker process keeps from task to task, until a task of another kind starts in it (see `map_batches`)."""
+    return sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
+
+
+def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], dict | Iterator[dict]], schema: str, keeps: bool = False) -> DataFrame:
+    """`mapInArrow` for a function that turns one batch into one or several column dictionaries.
+
+    Unless the function `keeps` things from task to task, its tasks drop what others kept, so that one step's tables do not
+    stand in the next one's memory.
+    """
     target = pa_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps and sys.modules.pop(_KEPT, None):
+            give_back()
         for batch in batches:
             if not batch.num_rows:
                 continue
