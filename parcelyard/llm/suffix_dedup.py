@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import GOLD, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
 
 LENGTH, GRAM = 400, 64
-SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 20, 1000, 500_000, 1 << 18
+SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 19, 1000, 500_000, 1 << 18
 _BYTES = seeded(5, 256)
 _LOW = np.uint64((1 << 24) - 1)
 
