@@ -11,10 +11,15 @@ row by row: rows without an id and repeated rows are scanned like others.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stage, table
+
+#: Detections that a row may have to be compared in place.
+MANY = 64
 
 #: (phrase, label) whose places are counted.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -143,6 +148,36 @@ def _base(words: Column, n_words: Column) -> dict[str, Column]:
     return {"n_base": count, "first_word": F.least(*firsts), "last_word": F.greatest(*lasts), "base": F.array_compact(F.array(*labels))}
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value worked out once, however often it is used: a lambda's argument is, while an expression
+    inside a lambda is worked out again for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _with_sums_before(numbers: Column, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """`use(f)` with f(k) the sum of the first k numbers. The numbers are cut into as many stretches as a stretch is long, so
+    that n sums take about n to the power 1.5 steps (a slice reads all of the array that it is taken from)."""
+
+    def total(held: Column) -> Column:
+        return F.aggregate(held, F.lit(0), lambda a, b: a + b)
+
+    def cut(held: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(held) + 1)).cast("int")
+        return _once(step, lambda n: _once(F.struct(n.alias("step"), F.transform(F.sequence(F.lit(0), n), lambda b: F.slice(held, b * n + 1, n)).alias("parts")), summed))
+
+    def summed(held: Column) -> Column:
+        return _once(F.transform(held["parts"], total), lambda each: _once(F.transform(each, lambda _, k: total(F.slice(each, F.lit(1), k))), lambda before: done(held, before)))
+
+    def done(held: Column, before: Column) -> Column:
+        def sum_before(k: Column) -> Column:
+            part = F.floor(k / held["step"]).cast("int")
+            return F.get(before, part) + total(F.slice(F.get(held["parts"], part), F.lit(1), k % held["step"]))
+
+        return use(sum_before)
+
+    return _once(numbers, cut)
+
+
 def _detections(words: Column) -> Column:
     """All matches of all rules whose keyword occurs, as (label, priority, score, low, high) with places in words."""
     by_keyword: dict[str, list[Column]] = {}
@@ -154,43 +189,68 @@ def _detections(words: Column) -> Column:
         between = F.transform(F.split(words, rule["said"], -1), _spaces)
         matched = F.transform(F.regexp_extract_all(words, rule["said"], F.lit(0)), _spaces)
 
-        def total(of: Column, n: Column) -> Column:
-            return F.aggregate(F.slice(of, F.lit(1), n), F.lit(0), lambda a, b: a + b)
+        def detections(parts: Column) -> Column:
+            def detection(size: Column, k: Column, before: Column) -> Column:
+                low = before + F.get(parts["between"], k) - 1
+                return F.struct(rule["label"].alias("label"), rule["priority"].alias("priority"), rule["score"].alias("score"), low.alias("low"), (low + size).alias("high"))
 
-        def detection(size: Column, k: Column) -> Column:
-            low = total(between, k + 1) + total(matched, k) - 1
-            return F.struct(rule["label"].alias("label"), rule["priority"].alias("priority"), rule["score"].alias("score"), low.alias("low"), (low + size).alias("high"))
+            steps = F.zip_with(F.slice(parts["between"], F.lit(1), F.size(parts["matched"])), parts["matched"], lambda a, b: a + b)
+            return _with_sums_before(steps, lambda sums: F.transform(parts["matched"], lambda size, k: detection(size, k, sums(k))))
 
-        return F.transform(matched, detection)
+        return _once(F.struct(between.alias("between"), matched.alias("matched")), detections)
 
     # the keyword is looked for once for all of its rules
     tried = F.flatten(F.transform(F.filter(listed, lambda g: F.contains(words, g["keyword"])), lambda g: g["rules"]))
     return F.flatten(F.transform(tried, places))
 
 
+def _beats(y, x) -> Column:
+    """Whether detection y contains x and ranks before it; of one rank the longer one does."""
+    longer = (y["high"] - y["low"]) > (x["high"] - x["low"])
+    return (y["low"] <= x["low"]) & (y["high"] >= x["high"]) & ((y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & longer))
+
+
 def _standing(found: Column) -> Column:
-    """Detections that no better one contains."""
+    """Detections that no better one contains, for a row with few."""
+    return F.filter(found, lambda x: ~F.exists(found, lambda y: _beats(y, x)))
+
 
-    def beats(x: Column, y: Column) -> Column:
-        holds = (y["low"] <= x["low"]) & (y["high"] >= x["high"])
-        longer = (y["high"] - y["low"]) > (x["high"] - x["low"])
-        return holds & ((y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & longer))
+def _standing_of_many(found: DataFrame) -> DataFrame:
+    """The same for rows (row, found) with any number: row, label, score and detection of each that stands.
 
-    return F.filter(found, lambda x: ~F.exists(found, lambda y: beats(x, y)))
+    No detection of a row is longer than its longest, so what can contain one starts in the same stretch of that many
+    words or in the one before. Only detections of those stretches meet, by an equi-join.
+    """
+    longest = F.aggregate("found", F.lit(1), lambda a, x: F.greatest(a, x["high"] - x["low"]))
+    # in a step of its own: next to the explode it would be worked out for every detection
+    each = found.select("row", "found", longest.alias("reach")).select("row", "reach", F.explode("found").alias("x"))
+    each = each.withColumn("stretch", F.floor(F.col("x.low") / F.col("reach")))
+    near = each.select(F.col("row").alias("of"), F.explode(F.array("stretch", F.col("stretch") + 1)).alias("at"), F.col("x").alias("y"))
+    beaten = (each["row"] == near["of"]) & (each["stretch"] == near["at"]) & _beats(near["y"], each["x"])
+    return each.join(near, beaten, "left_anti").select("row", F.col("x.label").alias("label"), F.col("x.score").alias("score"), F.col("x").alias("detection"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, the base columns, labels, score and the standing detections of each row (doc_id, text)."""
+    """doc_id, n_words, the base columns, labels, score and the standing detections of each row (doc_id, text).
+
+    Rows with more than `MANY` detections are told apart from the others once these are stored, and compared by stretches
+    of words, so the work of a long text grows little faster than the text.
+    """
     upper, lower = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123)))
     lowered = F.translate(F.coalesce("text", F.lit("")), upper, lower)
     joined = F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat(F.lit(" "), F.trim(joined), F.lit(" ")).alias("words"))
     rows = rows.withColumn("n_words", F.when(F.col("words") == "  ", 0).otherwise(_spaces(F.col("words")) - 1).cast("long"))
     rows = rows.select("doc_id", "n_words", "words", *[c.alias(n) for n, c in _base(F.col("words"), F.col("n_words")).items()])
-    rows = rows.withColumn("found", _detections(F.col("words")))
-    rows = rows.withColumn("found", _standing(F.col("found")))
-    every = F.concat("base", F.transform("found", lambda x: x["label"]))
-    strongest = F.aggregate("found", F.lit(0.0), lambda a, x: F.greatest(a, x["score"]))
+    rows = rows.withColumn("found", _detections(F.col("words"))).drop("words").withColumn("row", F.monotonically_increasing_id())
+    rows = stage(rows, "detections")
+
+    few = rows.where(F.size("found") <= MANY).withColumn("found", _standing(F.col("found")))
+    few = few.withColumns({"own": F.transform("found", lambda x: x["label"]), "best": F.aggregate("found", F.lit(0.0), lambda a, x: F.greatest(a, x["score"]))})
+    many = rows.where(F.size("found") > MANY)
+    stand = _standing_of_many(many.select("row", "found")).groupBy("row")
+    stand = stand.agg(F.collect_set("label").alias("own"), F.max("score").alias("best"), F.collect_list("detection").alias("found"))
+    rows = few.unionByName(many.drop("found").join(stand, "row"))
     return rows.select(
         "doc_id",
         "n_words",
@@ -198,8 +258,8 @@ def scan(docs: DataFrame) -> DataFrame:
         F.col("first_word").cast("long").alias("first_word"),
         F.col("last_word").cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
-        F.greatest(strongest, F.when(F.size("base") > 0, 0.5).otherwise(0.0)).alias("score"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat("base", "own"))), ",").alias("labels"),
+        F.greatest("best", F.when(F.size("base") > 0, 0.5).otherwise(0.0)).alias("score"),
         F.col("found").alias("detections"),
     )
 
