@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stage, table
+from .common import GOLD, map_batches, mixed, stage, table
 from .vectors import matrix, ragged
 
 SCALE, K, PIVOTS, CHUNK, BLOCK, EVERY = 64, 20, 64, 1024, 16_384, 20
@@ -148,10 +148,13 @@ def top_inner_products(queries: DataFrame, data: DataFrame, k: int = K, scale: i
             most, limit = reach[c]
             lower = np.abs(far - between[c, cell]) - most  # distance of the vector from the query cell's pivot, less its radius
             first, parts = chunk[c]
-            wanted[:, [numbers.index(x) for x in range(first, first + parts)]] |= (lower <= limit)[:, None]
+            at = np.searchsorted(numbers, np.arange(first, first + parts))
+            wanted[:, at] |= (lower <= limit)[:, None]
         row, column = np.nonzero(wanted)
         ids = batch.column("vec_id").take(pa.array(row))
-        return {"chunk": np.array(numbers, np.int64)[column] if len(numbers) else column, "block": np.abs(ids.to_numpy() % blocks), "vec_id": ids, "ints": batch.column("ints").take(pa.array(row))}
+        with np.errstate(over="ignore"):  # rows that share an id or a residue are dealt out too
+            block = (mixed(ids.to_numpy().astype(np.uint64) * GOLD + row.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+        return {"chunk": np.array(numbers, np.int64)[column] if len(numbers) else column, "block": block, "vec_id": ids, "ints": batch.column("ints").take(pa.array(row))}
 
     sent = map_batches(data, send, "chunk long, block long, vec_id long, ints binary")
     lookup = F.create_map([F.lit(int(x)) for c in cells for x in (c, chunk[c][0])]) if cells else F.create_map(F.lit(0), F.lit(0))
