@@ -331,3 +331,24 @@ def join_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: For tables whose ids are distinct and not null.
+ORACLE_SQL = {
+    "op9_ngram_join": rf"""
+WITH RECURSIVE texts AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS words FROM documents)
+, shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, place, place + 4), ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS place FROM texts WHERE len(words) > 0))
+, sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)
+, shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+, links AS MATERIALIZED (
+  SELECT a, b FROM shared s JOIN sizes x ON s.a = x.doc_id JOIN sizes y ON s.b = y.doc_id WHERE 100 * s.n >= 75 * (x.n + y.n - s.n))
+, reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+, least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT t.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(t.doc_id, coalesce(l.b, t.doc_id)) AS component_id
+FROM texts t LEFT JOIN sizes z ON t.doc_id = z.doc_id LEFT JOIN least l ON t.doc_id = l.a"""
+}

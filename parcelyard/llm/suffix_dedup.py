@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import GOLD, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM, HOT = 400, 64, 1000
 SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 19, 1000, 500_000, 1 << 18
 _BYTES = seeded(5, 256)
 _LOW = np.uint64((1 << 24) - 1)
@@ -270,7 +270,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     cuts = stage(map_batches(docs, cut, "anchor long, print long, doc_id long, mark long, start long, windows long"), "segments")
     place = F.struct("doc_id", "mark", "start", "windows")
     kinds = stage(cuts.groupBy("anchor", "print").agg(F.count("*").alias("copies"), F.min(place).alias("place")), "kinds")
-    whole = cuts.join(kinds.where("copies > 1").select("anchor", "print"), ["anchor", "print"], "left_semi")
+    # a segment that makes up more than one in HOT of all is looked up where it is; there are fewer than HOT of these
+    key, often = ["anchor", "print"], F.col("copies") * HOT > cuts.count()
+    hot = F.broadcast(kinds.where(often & (F.col("copies") > 1)).select(*key))
+    cold = kinds.where(~often & (F.col("copies") > 1)).select(*key)
+    whole = cuts.join(hot, key, "left_semi").unionByName(cuts.join(hot, key, "left_anti").join(cold, key, "left_semi"))
     whole = whole.select("doc_id", "mark", F.col("start").alias("low"), (F.col("start") + F.col("windows") - 1 + length).alias("high"))
 
     many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
