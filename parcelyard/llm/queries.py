@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ball_codes, kd_shards, level_products, ngram_join, projection_forest, url_filter, voronoi_knn
+from . import ball_codes, kd_shards, level_products, ngram_join, projection_forest, suffix_dedup, url_filter, voronoi_knn
 from .ball_codes import op11_vector_codes
 from .best_fit import op6_best_fit
 from .class_lm import op2_class_lm
@@ -38,4 +38,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL | kd_shards.ORACLE_SQL | level_products.ORACLE_SQL | ngram_join.ORACLE_SQL | projection_forest.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = url_filter.ORACLE_SQL | voronoi_knn.ORACLE_SQL | ball_codes.ORACLE_SQL | kd_shards.ORACLE_SQL | level_products.ORACLE_SQL | ngram_join.ORACLE_SQL | projection_forest.ORACLE_SQL | suffix_dedup.ORACLE_SQL

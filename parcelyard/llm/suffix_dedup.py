@@ -367,3 +367,29 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+#: Windows as hexadecimal text, told apart by their MD5; slow beyond small tables.
+ORACLE_SQL = {
+    "op1_suffix_dedup": f"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_key, doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS digits FROM documents)
+, windows AS MATERIALIZED (
+  SELECT row_key, place, md5_number(substr(digits, 2 * place + 1, {2 * LENGTH})) AS body FROM (
+    SELECT row_key, digits, unnest(range(n - {LENGTH - 1})) AS place FROM texts WHERE n >= {LENGTH}))
+, again AS (SELECT body FROM windows GROUP BY body HAVING count(*) > 1)
+, hits AS MATERIALIZED (SELECT row_key, place FROM windows JOIN again USING (body))
+, marked AS (SELECT row_key, place, CASE WHEN place <= lag(place) OVER (PARTITION BY row_key ORDER BY place) + {LENGTH} THEN 0 ELSE 1 END AS fresh FROM hits)
+, runs AS (SELECT row_key, place, sum(fresh) OVER (PARTITION BY row_key ORDER BY place) AS run FROM marked)
+, spans AS MATERIALIZED (SELECT row_key, min(place) AS low, max(place) + {LENGTH} AS high FROM runs GROUP BY row_key, run)
+, edges AS (
+  SELECT row_key, low, high FROM spans UNION ALL SELECT row_key, n, n FROM texts)
+, pieces AS (
+  SELECT e.row_key, low, substr(digits, 2 * coalesce(lag(high) OVER (PARTITION BY e.row_key ORDER BY low, high), 0) + 1,
+    2 * (low - coalesce(lag(high) OVER (PARTITION BY e.row_key ORDER BY low, high), 0))) AS piece, high
+  FROM edges e JOIN texts t ON e.row_key = t.row_key)
+, kept AS (SELECT row_key, sha256(unhex(string_agg(piece, '' ORDER BY low, high))) AS kept_sha256 FROM pieces GROUP BY row_key)
+, gone AS (SELECT row_key, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row_key)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, kept_sha256
+FROM texts JOIN kept USING (row_key) LEFT JOIN gone USING (row_key)"""
+}
