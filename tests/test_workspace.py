@@ -35,7 +35,8 @@ def test_entry_imports_without_the_training_data_operators(tmp_path):
     """Both optional folders gone: the entry module still imports and offers every other query."""
     repo = Path(__file__).resolve().parents[1]
     for name in ("__spark_entry__.py", "oracle.py", "corpus_pipeline.py"):
-        shutil.copy(repo / name, tmp_path / name)
+        if (repo / name).exists():
+            shutil.copy(repo / name, tmp_path / name)
     shutil.copytree(repo / "parcelyard", tmp_path / "parcelyard", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     script = "import __spark_entry__ as e; names = set(e.queries()); print(len(names), any(n.startswith('op') and n[2].isdigit() for n in names), 'pipeline' in names, set(e.oracle_sql()) <= names)"
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True, timeout=120)
