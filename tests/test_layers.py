@@ -115,3 +115,21 @@ def test_curated_build_records_its_runs(spark, raw, tmp_path):
 
 def test_new_folders_differ(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+@needs_tables
+def test_the_feature_fact_is_not_dealt_by_customer(spark, merge_joins, monkeypatch):
+    """No zip is joined to it, and orders and totals are stored once, where they join."""
+    made, real = [], queries.staged_by_key
+
+    def keep(df, purpose, key):
+        made.append((purpose, df))
+        return real(df, purpose, key)
+
+    monkeypatch.setattr(queries, "staged_by_key", keep)
+    monkeypatch.setattr(queries, "_made", {})
+    queries.QUERIES["features"](spark, FOLDER)
+    assert [purpose for purpose, _ in made] == ["feature_fact"]
+    assert exchanged_keys(made[0][1]) == {"order_id"}
+    made.clear()
+    assert queries.QUERIES["curated_fact"](spark, FOLDER).count() == 1500 and not made
