@@ -181,3 +181,24 @@ def test_a_bracket_that_misses_the_middle(spread, monkeypatch, bracket):
     held = spread.toPandas()
     assert feat.exact_medians(spread, ["a", "c", "d"]) == {c: held[c].median() for c in "acd"}
     assert len(passes) > 1
+
+
+def test_median_passes_unfold_few_rows(spread, monkeypatch):
+    """Values outside the brackets are counted where they are; only those inside are binned."""
+    binned, count = [], feat._bin_counts
+
+    def seen(df, search):
+        below, found = count(df, search)
+        binned.append((dict(search), below, found))
+        return below, found
+
+    monkeypatch.setattr(feat, "_bin_counts", seen)
+    same = spread.withColumn("same", F.lit(7.0))
+    want = feat.exact_medians(spread, ["a"])["a"]
+    assert feat.exact_medians(same, ["a", "same"]) == {"a": want, "same": 7.0}
+    search, below, found = binned[-1]
+    lo, hi = search["a"][:2]
+    held = [r["a"] for r in same.select("a").collect() if r["a"] is not None]
+    assert below["a"] == sum(v < lo for v in held)
+    assert sum(b["n"] for b in found["a"]) == sum(lo <= v <= hi for v in held)
+    assert found["same"] == [{"bin": 0, "n": same.count(), "lo": 7.0, "hi": 7.0}]
