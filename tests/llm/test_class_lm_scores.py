@@ -114,3 +114,48 @@ def test_exchange_says_what_is_unsettled():
     counts = np.zeros((10, 10))
     counts[:4, 4:8] = counts[4:8, :4] = 50 + np.arange(16).reshape(4, 4) % 3
     assert class_lm.exchanged(counts, 2, 20)[1] == 0
+
+
+def test_words_that_are_not_held_in_memory_have_classes_too(spark, rows, monkeypatch):
+    for name, value in (("CLUSTERED", 8), ("CLASSES", 4), ("NEAR", 6)):
+        monkeypatch.setattr(class_lm, name, value)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    model, words = class_lm.learn(docs.where(~class_lm._held_out()))
+    got = {(r["doc_id"], r["n_tokens"]): r for r in class_lm.score(docs, model, words).collect()}
+
+    training = [tokens(t) for k, t in rows if not held_out(k)]
+    seen = Counter(w for t in training for w in t if w)
+    table = {r["word"] % (1 << 64): (r["n"], r["kind"]) for r in words.collect()}
+    names = list(seen)
+    kind = {w: table[int(h)][1] for w, h in zip(names, hashes_of(names))}
+    assert {w: table[int(h)][0] for w, h in zip(names, hashes_of(names))} == seen and len(table) == len(seen)
+    assert 0 < len(model.head) <= 6
+    rare = [w for w in names if w.startswith("rare")]
+    assert len(rare) > 30 and len({kind[w] for w in rare}) > 2
+
+    pairs, mass = Counter(), Counter()
+    of = lambda w: model.end if w is None else kind.get(w, model.other)
+    for t in training:
+        for a, b in zip([None, *t[:-1]], t):
+            pairs[of(a), of(b)] += 1
+            mass[of(b)] += 1
+    alpha, classes = class_lm.ALPHA, model.end + 1
+    following = {a: sum(pairs[a, b] + alpha for b in range(classes)) for a in range(classes)}
+    rest = mass[model.other] + alpha * (sum(k == model.other for k in kind.values()) + 1)
+    for k, text in rows:
+        want, before = 0.0, model.end
+        for w in tokens(text):
+            c = of(w)
+            want += math.log10((pairs[before, c] + alpha) / following[before])
+            want += 0 if w is None else math.log10((seen[w] + alpha) / rest if c == model.other else seen[w] / mass[c])
+            before = c
+        assert got[k, len(tokens(text))]["score"] == pytest.approx(want)
+
+
+def test_nothing_is_sorted_for_the_words_in_memory(spark, monkeypatch):
+    words = spark.createDataFrame([(k, n, 0, True) for k, n in enumerate([9, 7, 7, 3, 3, 3, 1, 1])], "word long, n long, kind int, exchanged boolean")
+    for near, least in ((1, 9), (2, 9), (3, 7), (5, 7), (6, 3), (8, 1), (100, 1)):
+        monkeypatch.setattr(class_lm, "NEAR", near)
+        assert class_lm._least_near(words) == least
+    monkeypatch.setattr(class_lm, "NEAR", 0)
+    assert class_lm._least_near(words) == 10
