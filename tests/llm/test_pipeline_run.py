@@ -185,3 +185,22 @@ def test_estimate_equals_plain_loops():
                     odds[k] *= c[k][labeller][vote]
             p.append(odds[0] / (odds[0] + odds[1]))
     assert good == pytest.approx(np.array(p)) and chance == pytest.approx(np.array(c))
+
+
+def test_workers_get_small_batches(spark):
+    """Batches of 10,000 long texts stood in each running task several times."""
+    from parcelyard.llm.common import map_batches
+
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size, None)
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat(cast(id % 10 AS string), 10000) AS text")
+    step = lambda batch: {"n": [batch.num_rows], "bytes": [batch.nbytes]}
+    try:
+        spark.conf.unset(size)
+        got = map_batches(texts, step, "n long, bytes long").collect()
+        assert sum(r["n"] for r in got) == 3000 and max(r["bytes"] for r in got) < 9 << 20
+        spark.conf.set(size, "1m")
+        got = map_batches(texts, step, "n long, bytes long").collect()
+        assert sum(r["n"] for r in got) == 3000 and max(r["bytes"] for r in got) < 2 << 20
+    finally:
+        spark.conf.unset(size) if before is None else spark.conf.set(size, before)
