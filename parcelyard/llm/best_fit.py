@@ -10,97 +10,119 @@ Null and empty texts are one piece that holds `END` alone. Repeated rows are pac
 
 from __future__ import annotations
 
-import gc
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import kept_in_worker, map_batches, stage, steps, table, utf8
 
 END, SEQUENCE, GROUP_PIECES = 0, 2048, 20_000
+#: What the vocabulary encodes by itself, in lower-case ASCII.
+UNITS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
 
 
-class WordEncoder(dict):
-    """Token ids of white-space-separated words, as little-endian 32-bit bytes; `MOST` words are remembered for good.
+class WordEncoder:
+    """Token ids of white-space-separated words; the first `MOST` words ever met are remembered, as one Arrow column.
 
-    The vocabulary never joins words over white space, nor an ASCII letter with the punctuation after it, so words are
-    looked up one by one, and new ones are encoded many at a time.
+    The vocabulary never joins words over white space, nor units of a word (runs of letters, single digits, runs of anything
+    else), so words are looked up one by one, and new ones are encoded many at a time. Ids of a unit end with a token that
+    ends in `</w>`.
     """
 
-    MOST = 300_000
+    MOST, LINE = 300_000, 200
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        # for units of lower-case ASCII, which normalisation leaves as they are; it shares the vocabulary
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
-        self.passing: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.passing[word]
-
-    def _encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words. A word of letters is one unit of the vocabulary, so its ids end where a unit does; for the others
-        the tokenizer says which characters each id stands for, which takes it longer."""
-        letters = {w for w in words if w.isalpha() or w.decode().isalpha()}
-        out = {}
-        for group, units in ((letters, True), (words - letters, False)):
-            names = list(group)
-            for at in range(0, len(names), 2000):
-                out.update(self._cut(names[at : at + 2000], units))
-        return out
-
-    def _cut(self, names: list[bytes], units: bool) -> Iterator[tuple[bytes, bytes]]:
-        line = b" ".join(names).decode()
-        if units:
-            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(names):
-                return self._cut(names, False)
-            cuts = [0, *cuts.tolist()]
-        else:
+        self.words = pa.array([], pa.string())
+        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and number of the ids of each of some distinct words, and the ids that these are places of."""
+        place = pc.index_in(words, value_set=self.words)
+        fresh = place.is_null()
+        new = words.filter(fresh)
+        starts, lengths, ids = self._encoded(new)
+        fresh = fresh.to_numpy(zero_copy_only=False)
+        place = np.where(fresh, len(self.words) - 1 + np.cumsum(fresh), place.fill_null(0).to_numpy())
+        room = self.MOST - len(self.words)
+        held = np.concatenate([self.starts, starts + len(self.ids)]), np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+        if room > 0 and len(new):
+            self.words = pa.concat_arrays([self.words, new[:room]])
+            own = gathered(ids, starts[:room], lengths[:room])
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths[:room]) - lengths[:room]])
+            self.lengths, self.ids = held[1][: len(self.words)], np.concatenate([self.ids, own])
+        return held[0][place], held[1][place], held[2]
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words with their units set apart by spaces go to the tokenizer, and their ids are counted off by units. Where that
+        can't be told beforehand, or the count differs, the tokenizer says which characters each id stands for, which takes
+        it longer."""
+        lower = pc.and_not(pc.equal(words, pc.ascii_lower(words)), pc.match_substring(words, "<|"))
+        lower = pc.and_(pc.and_(lower, pc.string_is_ascii(words)), pc.utf8_is_printable(words))
+        letters = pc.and_(lower, pc.ascii_is_alpha(words))
+        lower = pc.and_not(lower, letters)
+        other = np.flatnonzero(pc.invert(pc.or_(letters, lower)))
+        rest = words.take(other)
+        tailed = pc.replace_substring_regex(rest, r"^(\p{L}+)([!-&(-/:-@\[-`{-~]+)$", r"\1 \2")
+        known = pc.or_(pc.utf8_is_alpha(rest), pc.not_equal(pc.binary_length(tailed), pc.binary_length(rest))).to_numpy(zero_copy_only=False)
+        apart = pc.ascii_rtrim_whitespace(pc.replace_substring_regex(words.filter(lower), f"({UNITS})", r"\1 "))
+        groups = [(self.plain, letters, words.filter(letters)), (self.plain, lower, apart)]
+        groups = [(t, np.flatnonzero(rows), spaced) for t, rows, spaced in groups] + [(self.tokenizer, other[known], tailed.filter(known))]
+        starts, lengths, parts, done, left = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0, [other[~known]]
+
+        def keep(rows: np.ndarray, ids: np.ndarray, cuts: np.ndarray) -> None:
+            nonlocal done
+            starts[rows], lengths[rows] = done + cuts[:-1], np.diff(cuts)
+            parts.append(ids)
+            done += len(ids)
+
+        for tokenizer, rows, spaced in groups:
+            last = np.cumsum(pc.count_substring(spaced, " ").to_numpy() + 1)
+            for at, line in _lines(spaced, self.LINE):
+                own, until = rows[at : at + self.LINE], last[at : at + self.LINE] - (last[at - 1] if at else 0)
+                ids = np.array(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == until[-1]:
+                    keep(own, ids, np.concatenate([[0], ends[until - 1]]))
+                else:
+                    left.append(own)
+        left = np.concatenate(left)
+        for at, line in _lines(words.take(pa.array(left)), self.LINE):
+            own = left[at : at + self.LINE]
             made = self.tokenizer.encode(line, add_special_tokens=False)
-            ids, starts = np.array(made.ids, "<u4"), np.cumsum([0, *(len(w.decode()) + 1 for w in names)])
-            cuts = np.searchsorted([o[0] for o in made.offsets], starts).tolist()
-        held, cuts = ids.tobytes(), [4 * c for c in cuts]
-        return zip(names, map(held.__getitem__, map(slice, cuts, cuts[1:])))
-
-    def learn(self, words: set[bytes]) -> None:
-        """Make all of `words` known until the next call, and the first `MOST` ever met for good."""
-        pause = gc.isenabled()
-        gc.disable()  # nothing here is cyclic, and there is much of it
-        try:
-            self._learn(words)
-        finally:
-            if pause:
-                gc.enable()
-
-    def _learn(self, words: set[bytes]) -> None:
-        cores, wanted = {}, set()
-        for word in words.difference(self):
-            core = word.rstrip(b".,;:!?|")
-            if len(core) < len(word) and core and 97 <= core[-1] <= 122:
-                cores[word] = pair = core, word[len(core) :]
-                wanted.update(pair)
-            else:
-                wanted.add(word)
-        known = self._encoded(wanted.difference(self))
-        for word, (core, tail) in cores.items():
-            known[word] = (known.get(core) or self[core]) + (known.get(tail) or self[tail])
-        room = max(0, self.MOST - len(self))
-        self.passing = known
-        if room:
-            self.update(known if len(known) <= room else dict(islice(known.items(), room)))
+            begins = np.cumsum([0, *(len(w) + 1 for w in line.split(" "))])
+            keep(own, np.array(made.ids, "<u4"), np.searchsorted([o[0] for o in made.offsets], begins))
+        return starts, lengths, np.concatenate([np.zeros(0, "<u4"), *parts])
+
+
+def _lines(words: pa.Array, size: int) -> Iterator[tuple[int, str]]:
+    """Words joined by spaces, `size` a line, and the place of each line's first word."""
+    places = [*range(0, len(words), size), len(words)]
+    if len(words):
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), words), " ")
+        yield from ((at, line.as_py()) for at, line in zip(places, joined))
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of `values` that begin at `starts`, one after the other."""
+    ends = np.cumsum(lengths)
+    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -111,8 +133,10 @@ def _encoder(path: str) -> WordEncoder:
     return kept[path]
 
 
-def _words(text: bytes) -> list[bytes]:
-    return (text if b"<|" in text else text.lower()).split()
+def _words(texts: pa.Array) -> pa.ListArray:
+    """Lower-cased words; texts that may hold special tokens stay as they are."""
+    texts = texts.cast(pa.string()).fill_null("")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
 
 
 def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
@@ -120,14 +144,18 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
 
     def step(batch):
         encoder = _encoder(tokenizer)
-        data, offsets = utf8(batch.column("text"))
+        offsets = utf8(batch.column("text"))[1]
         mark, made_before = np.array([end], "<u4").tobytes(), 0
         for first, last in steps(offsets, 2 << 20):
             row, parts = [], []
-            texts = [_words(data[a:b].tobytes()) for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True)]
-            encoder.learn(set().union(*texts))
-            for k, words in enumerate(texts, first):
-                ids = b"".join(map(encoder.__getitem__, words)) + mark
+            words = _words(batch.column("text").slice(first, last - first))
+            found = words.flatten().dictionary_encode()
+            starts, lengths, held = encoder.lookup(found.dictionary)
+            each = found.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(lengths[each])])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+            made_ids = gathered(held, starts[each], lengths[each])
+            for k, low, high in zip(range(first, last), ends[:-1], ends[1:], strict=True):
+                ids = made_ids[low:high].tobytes() + mark
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     row.append(k)
                     parts.append((piece, at // 4, ids[at : at + 4 * size]))

@@ -1,12 +1,17 @@
 """Each operator against brute force on small rows with nulls, ties, copies and clashing column names."""
 
+import gc
 import hashlib
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelyard.llm import best_fit, class_lm, license_scan, mixing, ngram_join, projection_forest, quality, suffix_dedup, url_filter, voronoi_knn
@@ -92,6 +97,38 @@ def test_best_fit(docs, empty, texts):
     assert best_fit.pack_documents(empty).count() == 0
 
 
+def test_best_fit_ids_of_odd_words(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    plain, pick = Tokenizer.from_file(path), random.Random(4)
+    signs = "abcdstrev'\"AZ019.,;:!?|$<>- \t\n\x0b\x00\x1f\x85\xa0\u3000éÉßİſŉe\u0327\u0301ﬁ中\u0958٣²한\u1112\u1161Σς😀\u200dǅ"
+    odd = ["".join(pick.choices(signs, k=pick.randrange(50))) for _ in range(800)]
+    odd += ["Hello <|startoftext|>World<|endoftext|> don't İ. q\u0302.", "x<|endoftext|>y A", "a<| <|b é<|", "</w> b</W>", " lead  trail "]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    want = {k: [*plain.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(odd)}
+    assert {r["doc_id"]: r["ids"] for r in best_fit.pieces(docs, path, with_ids=True).collect()} == want
+
+
+def test_best_fit_remembers_words_in_little_room():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    pick, before = random.Random(6), pa.total_allocated_bytes()
+    text = " ".join("".join(pick.choices("abcdefgh", k=8)) for _ in range(30_000))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(best_fit, "map_batches", lambda docs, step, schema, keeps: step)
+        patch.setattr(best_fit, "kept_in_worker", lambda kept={}: kept)
+        step = best_fit.pieces(SimpleNamespace(select=lambda *_: None), str(public_tokenizers.path("word_bpe_49k.json")))
+        small, large = (pa.RecordBatch.from_pydict({"doc_id": [1], "text": [t]}) for t in ("a b", text))
+        [*step(small)]
+        tracemalloc.start()
+        assert sum(sum(made["length"]) for made in step(large)) > 30_000
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+    assert held + pa.total_allocated_bytes() - before - large.nbytes < 100 * 30_000  # 32 bytes a word; 178 as Python objects
+
+
 def test_best_fit_takes_the_tightest_room():
     assert best_fit.best_fit([7, 6, 4, 3, 2], 10) == ([0, 1, 1, 0, 2], [0, 0, 6, 7, 0])
 
