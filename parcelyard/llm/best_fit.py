@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, map_batches, stage, steps, table, utf8
+from .common import map_batches, stage, steps, table, utf8
 
 END, SEQUENCE, GROUP_PIECES = 0, 2048, 20_000
 #: What the vocabulary encodes by itself, in lower-case ASCII.
@@ -125,14 +125,6 @@ def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return values[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
 
 
-def _encoder(path: str) -> WordEncoder:
-    """The encoder of this process: a worker keeps it from task to task, so words are encoded once a worker, not once a task."""
-    kept = kept_in_worker()
-    if path not in kept:
-        kept[path] = WordEncoder(path)
-    return kept[path]
-
-
 def _words(texts: pa.Array) -> pa.ListArray:
     """Lower-cased words; texts that may hold special tokens stay as they are."""
     texts = texts.cast(pa.string()).fill_null("")
@@ -142,8 +134,7 @@ def _words(texts: pa.Array) -> pa.ListArray:
 def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, the ids; `spread` tells equal rows of a batch apart."""
 
-    def step(batch):
-        encoder = _encoder(tokenizer)
+    def step(batch, encoder):
         offsets = utf8(batch.column("text"))[1]
         mark, made_before = np.array([end], "<u4").tobytes(), 0
         for first, last in steps(offsets, 2 << 20):
@@ -171,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
             yield made | ({"ids": [np.frombuffer(p[2], "<u4").astype(np.int32) for p in parts]} if with_ids else {})
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, spread long" + ", ids array<int>" * with_ids
-    return map_batches(docs.select("doc_id", "text"), step, schema, keeps=True)
+    return map_batches(docs.select("doc_id", "text"), step, schema, lambda: WordEncoder(tokenizer))
 
 
 class Rooms:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import GOLD, mixed, stage, steps, table, utf8, word_spans
+from .common import GOLD, give_back, mixed, stage, steps, table, utf8, word_spans
 
 WEIGHTS, EPOCHS, BUCKET, SEED = (5.0, 2.0, 1.0), 3.0, 2048, 20
 
@@ -28,6 +28,7 @@ WEIGHTS, EPOCHS, BUCKET, SEED = (5.0, 2.0, 1.0), 3.0, 2048, 20
 def word_count(text: pa.Array) -> pa.Array:
     data, offsets = utf8(text)
     counts = [np.diff(np.searchsorted(word_spans(data, p)[0], p - p[0])) for p in (offsets[a : b + 1] for a, b in steps(offsets))]
+    give_back()
     return pa.array(np.concatenate([*counts, np.zeros(0, np.int64)]))
 
 
@@ -84,6 +85,7 @@ def _draw(seed: int):
             if owed >= chance[k] * size[k] if size[k] else chance[k] < part[k]:
                 copies[k] += 1
                 owed -= size[k]
+        give_back()
         return rows.append_column("__copies", pa.array(copies))
 
     return draw

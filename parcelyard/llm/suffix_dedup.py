@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GOLD, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
+from .common import GOLD, giving_back, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
 
 LENGTH, GRAM, HOT = 400, 64, 1000
 SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 19, 1000, 500_000, 1 << 18
@@ -304,8 +304,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield made | {"body": [data[a : a + w + length - 1].tobytes() for a, w in ends]}
 
     parts = -(-(rest.where(spread).agg(F.sum("windows")).first()[0] or 0) // MERGED_ROWS) or 1
-    found = stage(map_batches(inputs, body, _OPEN).groupBy("shard").applyInPandas(_solve_shard(length, parts), _FOUND), "found")
-    merged = found.where("part IS NOT NULL").groupBy("part").applyInPandas(_merge_lists(length), "doc_id long, mark long, low long, high long")
+    found = stage(map_batches(inputs, body, _OPEN).groupBy("shard").applyInPandas(giving_back(_solve_shard(length, parts)), _FOUND), "found")
+    merged = found.where("part IS NOT NULL").groupBy("part").applyInPandas(giving_back(_merge_lists(length)), "doc_id long, mark long, low long, high long")
     return whole.unionByName(found.where("part IS NULL").select("doc_id", "mark", "low", "high")).unionByName(merged)
 
 

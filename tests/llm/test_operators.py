@@ -8,7 +8,6 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
-from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -115,18 +114,27 @@ def test_best_fit_remembers_words_in_little_room():
     public_tokenizers = pytest.importorskip("public_tokenizers")
     pick, before = random.Random(6), pa.total_allocated_bytes()
     text = " ".join("".join(pick.choices("abcdefgh", k=8)) for _ in range(30_000))
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(best_fit, "map_batches", lambda docs, step, schema, keeps: step)
-        patch.setattr(best_fit, "kept_in_worker", lambda kept={}: kept)
-        step = best_fit.pieces(SimpleNamespace(select=lambda *_: None), str(public_tokenizers.path("word_bpe_49k.json")))
-        small, large = (pa.RecordBatch.from_pydict({"doc_id": [1], "text": [t]}) for t in ("a b", text))
-        [*step(small)]
-        tracemalloc.start()
-        assert sum(sum(made["length"]) for made in step(large)) > 30_000
-        gc.collect()
-        held = tracemalloc.get_traced_memory()[0]
-        tracemalloc.stop()
-    assert held + pa.total_allocated_bytes() - before - large.nbytes < 100 * 30_000  # 32 bytes a word; 178 as Python objects
+    encoder = best_fit.WordEncoder(str(public_tokenizers.path("word_bpe_49k.json")))
+    words = pa.array(list(dict.fromkeys(text.split())))
+    tracemalloc.start()
+    encoder.lookup(words)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(encoder.words) == len(words)
+    assert held + pa.total_allocated_bytes() - before - words.nbytes < 100 * 30_000  # 32 bytes a word; 178 as Python objects
+
+
+def test_best_fit_leaves_nothing_in_idle_workers(spark, docs):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    assert best_fit.pieces(docs.repartition(8), str(public_tokenizers.path("word_bpe_49k.json"))).count()
+
+    def held(batches):
+        for batch in batches:
+            kinds = [type(x).__name__ for x in gc.get_objects()]
+            yield pa.RecordBatch.from_pydict({"n": [kinds.count("WordEncoder")] * batch.num_rows})
+
+    assert {r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()} == {0}
 
 
 def test_best_fit_takes_the_tightest_room():
