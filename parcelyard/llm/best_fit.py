@@ -36,7 +36,7 @@ class WordEncoder:
     ends in `</w>`.
     """
 
-    MOST, LINE = 300_000, 200
+    MOST, LINE = 100_000, 200
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,7 +50,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.words = pa.array([], pa.string())
-        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4")
 
     def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and number of the ids of each of some distinct words, and the ids that these are places of."""
@@ -65,7 +65,7 @@ class WordEncoder:
         if room > 0 and len(new):
             self.words = pa.concat_arrays([self.words, new[:room]])
             own = gathered(ids, starts[:room], lengths[:room])
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths[:room]) - lengths[:room]])
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths[:room], dtype=np.int64) - lengths[:room]])
             self.lengths, self.ids = held[1][: len(self.words)], np.concatenate([self.ids, own])
         return held[0][place], held[1][place], held[2]
 
@@ -84,7 +84,7 @@ class WordEncoder:
         apart = pc.ascii_rtrim_whitespace(pc.replace_substring_regex(words.filter(lower), f"({UNITS})", r"\1 "))
         groups = [(self.plain, letters, words.filter(letters)), (self.plain, lower, apart)]
         groups = [(t, np.flatnonzero(rows), spaced) for t, rows, spaced in groups] + [(self.tokenizer, other[known], tailed.filter(known))]
-        starts, lengths, parts, done, left = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0, [other[~known]]
+        starts, lengths, parts, done, left = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32), [], 0, [other[~known]]
 
         def keep(rows: np.ndarray, ids: np.ndarray, cuts: np.ndarray) -> None:
             nonlocal done
@@ -121,8 +121,10 @@ def _lines(words: pa.Array, size: int) -> Iterator[tuple[int, str]]:
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of `values` that begin at `starts`, one after the other."""
-    ends = np.cumsum(lengths)
-    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
+    ends = np.cumsum(lengths, dtype=np.int64)
+    places = np.repeat(starts - ends + lengths, lengths)
+    places += np.arange(len(places))
+    return values[places]
 
 
 def _words(texts: pa.Array) -> pa.ListArray:
@@ -143,7 +145,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, size: int = SEQUENCE
             found = words.flatten().dictionary_encode()
             starts, lengths, held = encoder.lookup(found.dictionary)
             each = found.indices.to_numpy()
-            ends = np.concatenate([[0], np.cumsum(lengths[each])])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+            ends = np.concatenate([[0], np.cumsum(lengths[each], dtype=np.int64)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
             made_ids = gathered(held, starts[each], lengths[each])
             for k, low, high in zip(range(first, last), ends[:-1], ends[1:], strict=True):
                 ids = made_ids[low:high].tobytes() + mark
