@@ -12,6 +12,10 @@ A byte goes if it lies in a string of `length` bytes that starts at another plac
 * An anchor with more than `SHARD_SEGMENTS` segments is spread over several shards. Each then lists its distinct
   windows in order, and the lists are merged: every list looks its windows up in the others by binary search.
 
+Passages of so many words are found the same way (`words` of `strip_repeats`): each word stands as `CODE` bytes of its
+hash, so a string of `words` such codes is a run of as many words, whatever its length in bytes, its white space and the
+case of A-Z. Whole words of such a run go.
+
 Null text is empty. Rows are told apart by doc_id and text, so repeated ids, null ids and repeated rows are all judged.
 Removal can leave bytes that are no valid UTF-8; `strip_repeats` drops such broken characters, the digests do not.
 """
@@ -19,6 +23,8 @@ Removal can leave bytes that are no valid UTF-8; `strip_repeats` drops such brok
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GOLD, giving_back, map_batches, may_be_in, mixed, seeded, stage, steps, table, utf8
+from .common import GOLD, giving_back, map_batches, may_be_in, mixed, seeded, span_hashes, stage, steps, table, utf8, word_spans
 
 LENGTH, GRAM, HOT = 400, 64, 1000
+CODE = 4
 SHARD_BYTES, SHARD_SEGMENTS, MERGED_ROWS, BLOCK_BYTES = 1 << 19, 1000, 500_000, 1 << 18
 _BYTES = seeded(5, 256)
 _LOW = np.uint64((1 << 24) - 1)
@@ -57,6 +64,18 @@ def window_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     return grams, whole
 
 
+def whole_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data, offsets
+
+
+def word_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of the rows at `offsets` as `CODE` bytes each, and the rows' offsets in these."""
+    low = int(offsets[0])
+    starts, ends = word_spans(data, offsets)
+    codes = (span_hashes(data, low, starts, ends) >> np.uint64(64 - 8 * CODE)).astype(np.uint32)
+    return codes.view(np.uint8), CODE * np.searchsorted(starts, offsets - low)
+
+
 def _minima(keys: np.ndarray, width: int) -> np.ndarray:
     """Smallest of each `width` neighbours."""
     span = 1
@@ -255,14 +274,17 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.length(text)).alias("mark"), text.alias("text"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, mark, low, high): byte spans that repeat; they may overlap. `mark` is a hash of the text."""
+def repeated_spans(docs: DataFrame, length: int = LENGTH, read: Callable = whole_bytes) -> DataFrame:
+    """(doc_id, mark, low, high): byte spans that repeat; they may overlap. `mark` is a hash of the text.
+
+    `read` turns texts into the bytes that are compared and counted.
+    """
     spark, docs = docs.sparkSession, _marked(docs)
 
     def cut(batch):
         data, offsets = utf8(batch.column("text"))
         for low, high in steps(offsets):
-            found = segments(data, offsets[low : high + 1], length)
+            found = segments(*read(data, offsets[low : high + 1]), length)
             rows = found.pop("row")
             held = batch.slice(low, high - low)
             yield found | {c: held.column(c).take(rows) for c in ("doc_id", "mark")}
@@ -292,7 +314,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     inputs = texts.join(own, keys).select("doc_id", "mark", "text", "parts")
 
     def body(batch):
-        data, offsets = utf8(batch.column("text"))
+        data, offsets = read(*utf8(batch.column("text")))
         lists, values = batch.column("parts"), batch.column("parts").flatten()
         row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
         parts = {c: values.field(c) for c in _PARTS}
@@ -320,37 +342,59 @@ def united(spans: list, size: int) -> np.ndarray:
     return np.stack([spans[first, 0], reach[np.append(first[1:], len(spans)) - 1]], axis=1)
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    """`docs` with the spans of each row in `__spans`; texts without any stay out of the shuffle."""
+def _with_spans(docs: DataFrame, length: int, words: int = 0) -> DataFrame:
+    """`docs` with the spans of each row in `__spans`, if `words` are given those of its word codes in `__passages`.
+
+    Texts without any stay out of the shuffle.
+    """
     mine = docs.withColumn("__mark", F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))))
-    spans = repeated_spans(docs, length).groupBy("doc_id", "mark").agg(F.collect_set(F.array("low", "high")).alias("__spans"))
+    found = {"__spans": repeated_spans(docs, length)}
+    if words:
+        found["__passages"] = repeated_spans(docs, words * CODE, word_codes)
+    every = reduce(DataFrame.unionByName, (s.withColumn("kind", F.lit(c)) for c, s in found.items()))
+    spans = every.groupBy("doc_id", "mark").agg(*(F.collect_set(F.when(F.col("kind") == c, F.array("low", "high"))).alias(c) for c in found))
     spans = stage(spans.withColumnsRenamed({"doc_id": "__doc", "mark": "__m"}), "spans")
     passes = may_be_in(spans.select("__m"))("__mark")
     keys = [mine["doc_id"].cast("long").eqNullSafe(spans["__doc"]), mine["__mark"] == spans["__m"]]
-    none = mine.where(~passes).withColumn("__spans", F.lit(None).cast("array<array<bigint>>"))
-    some = mine.where(passes).join(spans, keys, "left").select(*mine.columns, "__spans")
+    none = mine.where(~passes).withColumns({c: F.lit(None).cast("array<array<bigint>>") for c in found})
+    some = mine.where(passes).join(spans, keys, "left").select(*mine.columns, *found)
     return none.unionByName(some).drop("__mark")
 
 
-def _kept(batch):
+def _word_runs(data: np.ndarray, ends: np.ndarray, passages: list, words: int) -> list:
+    """Spans of word codes as byte spans of the row between `ends`, from the first word's start to the last one's end."""
+    starts, stops = word_spans(data, ends)
+    runs = united(passages, CODE * len(starts))
+    first, last = -(-runs[:, 0] // CODE), runs[:, 1] // CODE
+    whole = last - first >= words
+    return list(zip(starts[first[whole]].tolist(), stops[last[whole] - 1].tolist(), strict=True))
+
+
+def _kept(batch, words: int = 0):
     data, offsets = utf8(batch.column("text"))
     lists = batch.column("__spans").to_pylist()
-    for low, high, spans in zip(offsets[:-1], offsets[1:], lists, strict=True):
+    passages = batch.column("__passages").to_pylist() if words else [None] * len(lists)
+    for low, high, spans, runs in zip(offsets[:-1], offsets[1:], lists, passages, strict=True):
+        if runs:
+            spans = [*(spans or []), *_word_runs(data, np.array([low, high]), runs, words)]
         gone = united(spans or [], high - low)
         bounds = np.concatenate([[0], gone.ravel(), [high - low]]).reshape(-1, 2)
         yield data[low:high], gone, b"".join(data[low + a : low + b].tobytes() for a, b in bounds)
 
 
-def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """`docs` without the repeated bytes of `text`; the other columns stay as they are."""
+def strip_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """`docs` without the repeated bytes of `text`; the other columns stay as they are.
+
+    With `words`, runs of that many words go too if they occur again, however few bytes they have.
+    """
     fields = docs.schema
 
     def step(batch):
-        kept = [k.decode("utf-8", "ignore") for _, _, k in _kept(batch)]
+        kept = [k.decode("utf-8", "ignore") for _, _, k in _kept(batch, words)]
         kept = [k if t.is_valid else None for k, t in zip(kept, batch.column("text"), strict=True)]
         return {f.name: kept if f.name == "text" else batch.column(f.name) for f in fields}
 
-    return map_batches(_with_spans(docs, length), step, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))
+    return map_batches(_with_spans(docs, length, words), step, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
